@@ -16,11 +16,15 @@ HOT_SHARE = 200
 SALTS = 64
 
 
+def heavy(counts: DataFrame, key: str, n: str, share: int = HOT_SHARE) -> DataFrame:
+    """Keys whose count ``n`` exceeds ``1/share`` of the sum: at most ``share`` keys, whatever the data."""
+    total = counts.agg(F.sum(n)).scalar()
+    return counts.where(F.col(n) * share > total).select(key)
+
+
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``1/share`` of the rows: at most ``share`` of them, whatever the data."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * share > total).select(key)
+    """Keys holding more than ``1/share`` of the rows."""
+    return heavy(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), key, "_n", share)
 
 
 def skew_join(
@@ -103,7 +107,8 @@ def member_stats(claims: DataFrame) -> DataFrame:
 def with_provider_stats(claims: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Claims with their provider's statistics; a claim without provider keeps nulls."""
     stats = provider_stats(claims) if stats is None else stats
-    return skew_join(claims, stats, "provider_id", F.col("claim_id"))
+    hot = heavy(stats, "provider_id", "provider_claim_count")
+    return skew_join(claims, stats, "provider_id", F.col("claim_id"), hot)
 
 
 def with_member_stats(claims: DataFrame, stats: DataFrame | None = None) -> DataFrame:
@@ -113,7 +118,8 @@ def with_member_stats(claims: DataFrame, stats: DataFrame | None = None) -> Data
     one task, the aggregate combines them map-side.
     """
     stats = member_stats(claims) if stats is None else stats
-    return skew_join(claims, stats, "member_id", F.col("claim_id"))
+    hot = heavy(stats, "member_id", "member_claim_count")
+    return skew_join(claims, stats, "member_id", F.col("claim_id"), hot)
 
 
 def enrich_requests(
