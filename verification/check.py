@@ -13,7 +13,8 @@ from verification.load import REGISTRY
 def main(base: str, names: list[str]) -> int:
     spark = build_session(
         "check", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+           "spark.driver.memory": "8g",
            "spark.sql.warehouse.dir": "/tmp/claimlens-warehouse"},
     )
     spark.sparkContext.setLogLevel("ERROR")
