@@ -1,10 +1,12 @@
 """Exact k nearest neighbours by cosine distance, without a cross join.
 
 Points are cut into cells around pivots drawn from the points themselves, so dense regions get more
-cells.  On unit vectors the chord length is a metric, and the triangle inequality tells which points can
-be among the ``k`` nearest of any query of a cell; only those are sent there.  A cell's work is dealt out
-in units of bounded size, each unit returns ``k`` rows per query, and a ranked merge keeps the best ``k``.
-Identical vectors are collapsed first: of any one vector only the ``k`` lowest keys can matter.
+cells.  Each query first searches its own cell; the distance of its ``k``-th hit there bounds how far it
+has to look, and on unit vectors (where the chord is a metric) the triangle inequality and the bisecting
+plane between two pivots tell which other cells can still hold something nearer.  Only those are
+searched.  A cell's work is dealt out in units of bounded size, each unit returns ``k`` hits per query,
+and a ranked merge keeps the best ``k``.  Identical vectors are collapsed first: of any one vector only
+the ``k`` lowest keys can matter.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.vectors import dot
 from claimlens.operators.joins import skew_join
+from claimlens.session import stage
 
 MAX_PIVOTS = 2048
-QUERY_UNIT = 4096  # queries per work unit
-POINT_UNIT = 16384  # candidate points per work unit
+ONE_CELL = 20_000  # up to this many distinct points a single cell is searched
+QUERY_UNIT = 2048  # queries per work unit
+POINT_UNIT = 16_384  # points per work unit
 BLOCK = 256  # query rows per distance matrix
 SLACK = 1e-6  # rounding of chord lengths
 
@@ -55,43 +59,28 @@ def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def _bounds(pivots: np.ndarray, radius: np.ndarray, nearest: list[list[float]], k: int) -> np.ndarray:
-    """Per query cell: chord to its pivot beyond which a point cannot be among the ``k`` nearest.
+def _other_cells(searched: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
+    """One row per (query, further cell that may hold a point within the query's ``bound``).
 
-    ``nearest[j]`` holds the ``k`` smallest chords of cell j's points to pivot j, so every point's chord
-    to pivot i is at most ``|p_i p_j|`` longer.
+    No point of cell j is nearer than the chord to pivot j less the cell's radius, nor nearer than the
+    plane between pivot j and the query's own pivot.
     """
     between = _chords(pivots, pivots)
-    out = np.full(len(pivots), -1.0)
-    for i in np.flatnonzero(radius >= 0):
-        reach = sorted(between[i, j] + d for j, ds in enumerate(nearest) for d in ds)
-        kth = radius[i] + (reach[k - 1] if len(reach) >= k else 2.0)
-        out[i] = radius[i] + min(kth, 2.0) + SLACK
-    return out
-
-
-def _candidate_counts(points: DataFrame, pivots: np.ndarray, bounds: np.ndarray) -> dict[int, int]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                hits = (_chords(_matrix(batch["vec"]), pivots) <= bounds).sum(axis=0)
-                cells = np.flatnonzero(hits)
-                yield pd.DataFrame({"cell": cells.astype("int32"), "n": hits[cells].astype("int64")})
-
-    sums = points.select("vec").mapInPandas(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    return {row["cell"]: row["n"] for row in sums.collect()}
-
-
-def _candidates(points: DataFrame, pivots: np.ndarray, bounds: np.ndarray) -> DataFrame:
-    """One row per (cell, point that may matter there)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                rows, cells = np.nonzero(_chords(_matrix(batch["vec"]), pivots) <= bounds)
-                yield batch.iloc[rows].assign(cell=cells.astype("int32"))
+                own = batch["cell"].to_numpy()
+                chords = _chords(_matrix(batch["vec"]), pivots)
+                home = chords[np.arange(len(own)), own][:, None]
+                plane = (chords**2 - home**2) / np.maximum(2.0 * between[own], SLACK)
+                floor = np.maximum(chords - radius, plane)
+                wanted = (floor <= batch["bound"].to_numpy()[:, None] + SLACK) & (radius >= 0)
+                wanted[np.arange(len(own)), own] = False
+                rows, cells = np.nonzero(wanted)
+                yield pd.DataFrame({"vec": batch["vec"].to_numpy()[rows], "cell": cells.astype("int32")})
 
-    return points.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in points.dtypes) + ", cell int")
+    return searched.select("vec", "cell", "bound").mapInPandas(run, "vec array<double>, cell int")
 
 
 def _per_cell(values: np.ndarray, cell: Column) -> Column:
@@ -99,104 +88,124 @@ def _per_cell(values: np.ndarray, cell: Column) -> Column:
     return F.get(F.from_json(F.lit(str([int(v) for v in values])), "array<int>"), cell)
 
 
-def _parts(of: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), of - 1))
-
-
 def _nearest_in_unit(k: int):
+    """Best ``k`` points of a unit for each of its queries, ties in key order."""
+
     def run(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        columns = {"vec": [], "key": [], "payload": [], "distance": []}
-        if len(queries) and len(points):
-            points = points.sort_values("key", kind="stable")
-            keys, payload = points["key"].to_numpy(), points["payload"].to_numpy()
-            target = _matrix(points["vec"])
-            keep = min(k, len(points))
-            for start in range(0, len(queries), BLOCK):
-                block = queries["vec"].iloc[start : start + BLOCK]
-                distances = np.maximum(0.0, 1.0 - _matrix(block) @ target.T)
-                limits = np.partition(distances, keep - 1, axis=1)[:, keep - 1]
-                for vec, row, limit in zip(block, distances, limits):
-                    near = np.flatnonzero(row <= limit)
-                    near = near[np.argsort(row[near], kind="stable")][:keep]
-                    columns["vec"] += [vec] * len(near)
-                    columns["key"] += list(keys[near])
-                    columns["payload"] += list(payload[near])
-                    columns["distance"] += list(row[near])
-        return pd.DataFrame(columns)
+        if not len(queries) or not len(points):
+            return pd.DataFrame({"vec": [], "distance": [], "key": [], "payload": []})
+        points = points.sort_values("key", kind="stable")
+        keys, payload = points["key"].to_numpy(), points["payload"].to_numpy()
+        target = _matrix(points["vec"])
+        keep = min(k, len(points))
+        found: dict[str, list] = {"distance": [], "key": [], "payload": []}
+        for start in range(0, len(queries), BLOCK):
+            block = _matrix(queries["vec"].iloc[start : start + BLOCK])
+            distances = np.maximum(0.0, 1.0 - block @ target.T)
+            near = np.argpartition(distances, keep - 1, axis=1)[:, :keep]
+            limit = np.take_along_axis(distances, near, axis=1).max(axis=1, keepdims=True)
+            for row in np.flatnonzero((distances <= limit).sum(axis=1) > keep):  # ties at the edge
+                tied = np.flatnonzero(distances[row] <= limit[row])
+                near[row] = tied[np.argsort(distances[row, tied], kind="stable")][:keep]
+            length = np.take_along_axis(distances, near, axis=1)
+            order = np.lexsort((near, length), axis=-1)
+            near = np.take_along_axis(near, order, axis=1)
+            found["distance"] += list(np.take_along_axis(length, order, axis=1))
+            found["key"] += list(keys[near])
+            found["payload"] += list(payload[near])
+        return pd.DataFrame({"vec": queries["vec"].to_numpy(), **found})
 
     return run
 
 
-def nearest_vectors(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+def _search(asked: DataFrame, points: DataFrame, n_points: np.ndarray, k: int) -> DataFrame:
+    """Best ``k`` hits of each (query, cell) in ``asked`` among the cell's points.
+
+    Both sides are dealt into parts of bounded size; every (query part, point part) pair is one unit.
+    """
+    n_queries = np.zeros(len(n_points), dtype=int)
+    for row in asked.groupBy("cell").agg(F.count("*").alias("n")).collect():
+        n_queries[row["cell"]] = row["n"]
+    cell = F.col("cell")
+    query_parts = _per_cell(np.maximum(1, -(-n_queries // QUERY_UNIT)), cell)
+    point_parts = _per_cell(np.maximum(1, -(-n_points // POINT_UNIT)), cell)
+
+    def part(column: str, parts: Column) -> Column:
+        return F.pmod(F.xxhash64(column), parts).cast("int")
+
+    def every(parts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), parts - 1))
+
+    left = asked.select("vec", "cell", part("vec", query_parts).alias("query_part"), every(point_parts).alias("point_part"))
+    # a cell nobody asks for is not sent anywhere
+    wanted = F.get(F.from_json(F.lit(str([int(v) for v in n_queries])), "array<int>"), cell) > 0
+    right = points.where(wanted).select(
+        "vec", "key", "payload", "cell", every(query_parts).alias("query_part"), part("key", point_parts).alias("point_part")
+    )
+    key = dict(points.dtypes)["key"]
+    unit = ["cell", "query_part", "point_part"]
+    schema = f"vec array<double>, distance array<double>, key array<{key}>, payload array<string>"
+    hits = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInPandas(_nearest_in_unit(k), schema)
+    return hits.select("vec", F.explode(F.arrays_zip("distance", "key", "payload")).alias("hit"))
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    """One row per query with its ``k`` best hits in order."""
+    order = Window.partitionBy("vec").orderBy("hit")
+    ranked = hits.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k)
+    return ranked.groupBy("vec").agg(F.array_sort(F.collect_list("hit")).alias("neighbours"))
+
+
+def nearest_vectors(queries: DataFrame, points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
     """Neighbours of every distinct query vector.
 
     ``queries``: ``vec``; ``points``: ``key``, ``payload`` (string), ``vec``; vectors of length 1 or 0.
     Returns one row per distinct query ``vec`` with ``neighbours``, an array of
     (distance, key, payload) ordered by distance, then key.
     """
-    schema = f"vec array<double>, key {dict(points.dtypes)['key']}, payload string, distance double"
     lowest = Window.partitionBy("vec").orderBy("key")
     points = points.select("key", "payload", "vec").withColumn("_rn", F.row_number().over(lowest))
-    points = points.where(F.col("_rn") <= k).drop("_rn")
+    points = stage(points.where(F.col("_rn") <= k).drop("_rn"), "points")
+    asked = stage(queries.select("vec").distinct(), "asked")
     zero = F.forall("vec", lambda x: x == 0)
-    distinct_points = points.where(~zero).select("vec").distinct()
-    n = distinct_points.count()
-    wanted = min(MAX_PIVOTS, max(1, math.isqrt(n) // 2))
-    drawn = distinct_points.orderBy(F.xxhash64("vec"), "vec").limit(wanted).collect()
-    distinct_queries = queries.select("vec").distinct()
+    solid, distinct = points.where(~zero), points.where(~zero).select("vec").distinct()
+    if pivots is None:
+        n = distinct.count()
+        pivots = 1 if n <= ONE_CELL else min(MAX_PIVOTS, math.isqrt(n))
+    drawn = distinct.orderBy(F.xxhash64("vec"), "vec").limit(pivots).collect()
 
     # a zero vector is at distance 1 from everything: its neighbours are the lowest keys of all
     lowest_keys = points.orderBy("key").limit(k).select(F.lit(1.0).alias("distance"), "key", "payload")
-    found = distinct_queries.where(zero).withColumn(
-        "neighbours",
-        lowest_keys.agg(F.array_sort(F.collect_list(F.struct("distance", "key", "payload")))).scalar(),
+    of_zero = lowest_keys.agg(F.array_sort(F.collect_list(F.struct("distance", "key", "payload")))).scalar()
+    found = asked.where(zero).withColumn("neighbours", of_zero)
+    if not drawn:
+        # only zero points exist, and every query is at distance 1 from them
+        return asked.withColumn("neighbours", of_zero)
+    centres = np.array([row["vec"] for row in drawn])
+    cells = _assign(solid, centres)
+    if len(centres) > 1:
+        cells = stage(cells, "cells")
+    n_points, radius = np.zeros(len(centres), dtype=int), np.full(len(centres), -1.0)
+    for row in cells.groupBy("cell").agg(F.max("reach").alias("r"), F.count("*").alias("n")).collect():
+        n_points[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
+    # the one zero vector a table can hold joins every cell, where the first search meets it
+    every_cell = F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1)))
+    targets = cells.drop("reach").unionByName(points.where(zero).withColumn("cell", every_cell))
+    at_home = _assign(asked.where(~zero), centres).drop("reach")
+    first = _best(_search(at_home, targets, n_points, k), k)
+    if len(centres) == 1:
+        return first.unionByName(found)
+
+    kth = F.try_element_at("neighbours", F.lit(k))["distance"]
+    bound = F.least(F.sqrt(F.coalesce(kth, F.lit(2.0)) * 2), F.lit(2.0))
+    searched = stage(
+        at_home.join(first, "vec", "left").withColumn("bound", bound), "searched"
+    )
+    further = stage(_other_cells(searched, centres, radius), "further")
+    hits = searched.select("vec", F.explode("neighbours").alias("hit")).unionByName(
+        _search(further, cells.drop("reach"), n_points, k)
     )
-    if drawn:
-        pivots = np.array([row["vec"] for row in drawn])
-        assigned = _assign(distinct_queries.where(~zero), pivots)
-        radius, n_queries = np.full(len(pivots), -1.0), np.zeros(len(pivots), dtype=int)
-        for row in assigned.groupBy("cell").agg(F.max("reach").alias("r"), F.count("*").alias("n")).collect():
-            radius[row["cell"]], n_queries[row["cell"]] = row["r"], row["n"]
-        solid = points.where(~zero)
-        closest = Window.partitionBy("cell").orderBy("reach")
-        reaches = (
-            _assign(solid.select("vec"), pivots)
-            .withColumn("_rn", F.row_number().over(closest))
-            .where(F.col("_rn") <= k)
-            .select("cell", "reach")
-            .collect()
-        )
-        nearest: list[list[float]] = [[] for _ in pivots]
-        for row in reaches:
-            nearest[row["cell"]].append(row["reach"])
-        bounds = _bounds(pivots, radius, nearest, k)
-        n_points = _candidate_counts(solid, pivots, bounds)
-        query_parts = np.maximum(1, -(-n_queries // QUERY_UNIT))
-        point_parts = np.array([max(1, -(-n_points.get(i, 0) // POINT_UNIT)) for i in range(len(pivots))])
-        everywhere = points.where(zero).withColumn(
-            "cell", F.explode(F.sequence(F.lit(0), F.lit(len(pivots) - 1)))
-        )
-        cell = F.col("cell")
-        sent = _candidates(solid, pivots, bounds).unionByName(everywhere)
-        sent = sent.withColumns(
-            {
-                "point_part": F.pmod(F.xxhash64("key"), _per_cell(point_parts, cell)).cast("int"),
-                "query_part": _parts(_per_cell(query_parts, cell)),
-            }
-        )
-        asked = assigned.select("vec", "cell").withColumns(
-            {
-                "query_part": F.pmod(F.xxhash64("vec"), _per_cell(query_parts, cell)).cast("int"),
-                "point_part": _parts(_per_cell(point_parts, cell)),
-            }
-        )
-        unit = ["cell", "query_part", "point_part"]
-        hits = asked.groupBy(*unit).cogroup(sent.groupBy(*unit)).applyInPandas(_nearest_in_unit(k), schema)
-        best = Window.partitionBy("vec").orderBy("distance", "key")
-        merged = hits.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= k)
-        nearest_hits = F.array_sort(F.collect_list(F.struct("distance", "key", "payload")))
-        found = merged.groupBy("vec").agg(nearest_hits.alias("neighbours")).unionByName(found)
-    return found
+    return _best(hits, k).unionByName(found)
 
 
 def knn_join(
