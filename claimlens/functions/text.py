@@ -16,22 +16,28 @@ _MARK = "\u0001"  # fences a found abbreviation; anything left of it is stripped
 def clean_text(text: Column, abbreviations: Mapping[str, str] = C.ABBREVIATIONS) -> Column:
     """Lower-case, expand whole-word abbreviations, drop symbols, collapse blanks.
 
-    One regular expression fences every abbreviation and plain replacements expand them, so a text is
-    scanned by two patterns instead of one per abbreviation.  A null text becomes "".
+    One regular expression fences every abbreviation and a lookup expands the fenced pieces, so a text is
+    scanned twice instead of once per abbreviation.  A null text becomes "".
     """
     words = "|".join(re.escape(a) for a in abbreviations)
-    out = F.regexp_replace(
-        F.lower(F.coalesce(text, F.lit(""))), rf"(?U)\b({words})\b", f"{_MARK}$1{_MARK}"
-    )
-    for short, full in abbreviations.items():
-        out = F.replace(out, F.lit(f"{_MARK}{short}{_MARK}"), F.lit(full))
-    return F.trim(F.regexp_replace(out, r"[^a-z0-9.,\-/]+", " "))
+    fenced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"(?U)\b({words})\b", f"{_MARK}$1{_MARK}")
+    full = F.create_map(*[F.lit(word) for pair in abbreviations.items() for word in pair])
+    # no other piece can equal an abbreviation: standing alone it would have been fenced itself
+    pieces = F.transform(F.split(fenced, _MARK), lambda piece: F.coalesce(F.try_element_at(full, piece), piece))
+    # runs of symbols and blanks become one blank; a single blank is left as it is
+    symbols = r" [^a-z0-9.,\-/]+|[^a-z0-9.,\-/ ][^a-z0-9.,\-/]*"
+    return F.trim(F.regexp_replace(F.array_join(pieces, ""), symbols, " "))
+
 
+def tokens(text: Column, first: int | None = None) -> Column:
+    """Words between blanks; punctuation stays attached, empty text has no words.
 
-def tokens(text: Column) -> Column:
-    """Words between blanks; punctuation stays attached, empty text has no words."""
-    words = F.split(F.coalesce(text, F.lit("")), r"(?U)\s+")
-    return F.filter(words, lambda w: w != "")
+    ``first`` wants only so many leading words: splitting then stops behind them.
+    """
+    # room for an empty piece before a leading blank and for the unsplit rest
+    limit = -1 if first is None else first + 2
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+", limit), lambda w: w != "")
+    return words if first is None else F.slice(words, 1, first)
 
 
 def keyword_diagnosis(cleaned: Column) -> Column:

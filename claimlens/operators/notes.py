@@ -24,7 +24,8 @@ def clean_notes(notes: DataFrame, column: str = "clinical_note") -> DataFrame:
 
 def token_counts(texts: DataFrame, column: str) -> DataFrame:
     """Occurrences of every token; counted within each partition before words are exchanged."""
-    words = texts.select(F.explode(X.tokens(F.col(column))).alias("word"))
+    # the outer form, because Spark splits every text twice to skip empty ones early
+    words = texts.select(F.explode_outer(X.tokens(F.col(column))).alias("word")).where("word IS NOT NULL")
     return words.groupBy("word").agg(F.count("*").alias("n_uses"))
 
 
@@ -53,7 +54,7 @@ def encode_notes(
     notes: DataFrame, vocabulary: Vocabulary, column: str = "clean_text", max_len: int = 64
 ) -> DataFrame:
     """Add ``token_ids``: exactly ``max_len`` ids per note, without a shuffle."""
-    ids = padded_ids(X.tokens(F.col(column)), vocabulary.buckets, vocabulary.size, max_len)
+    ids = padded_ids(X.tokens(F.col(column), max_len), vocabulary.buckets, vocabulary.size, max_len)
     return notes.withColumn("token_ids", ids)
 
 

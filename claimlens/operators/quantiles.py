@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,14 +41,23 @@ def _around(fraction: float) -> list[float]:
     return [max(fraction - MARGIN, 0.0), min(fraction + MARGIN, 1.0)]
 
 
+def _brackets(ranks: Sequence[_Rank]) -> list[list[_Rank]]:
+    """Ranks that search the same bracket (both neighbours of a position do) together."""
+    shared: dict[tuple, list[_Rank]] = {}
+    for r in ranks:
+        shared.setdefault((r.column, r.low, r.high), []).append(r)
+    return list(shared.values())
+
+
 def _count(df: DataFrame, ranks: Sequence[_Rank], shape: Mapping[str, float]) -> None:
     """Count below and inside each bracket; a bracket that missed its rank moves to that side."""
     aggs = []
-    for i, r in enumerate(ranks):
+    brackets = _brackets(ranks)
+    for i, (r, *_) in enumerate(brackets):
         aggs.append(F.count_if(F.col(r.column) < r.low).alias(f"below{i}"))
         aggs.append(F.count_if(r.is_inside()).alias(f"inside{i}"))
     found = df.agg(*aggs).first()
-    for i, r in enumerate(ranks):
+    for i, r in ((i, r) for i, same in enumerate(brackets) for r in same):
         r.below, r.inside = found[f"below{i}"], found[f"inside{i}"]
         if r.rank < r.below:
             r.low, r.high, r.inside = shape[f"min_{r.column}"], r.low, 0
@@ -56,35 +67,39 @@ def _count(df: DataFrame, ranks: Sequence[_Rank], shape: Mapping[str, float]) ->
             r.value = r.low
 
 
-def _histogram(df: DataFrame, ranks: Sequence[_Rank]) -> DataFrame:
+def _histogram(df: DataFrame, brackets: Sequence[list[_Rank]]) -> DataFrame:
+    """(bracket, value, rows) of the values inside; rows outside every bracket are dropped first."""
     hits = [
         F.when(r.is_inside(), F.struct(F.lit(i).alias("i"), F.col(r.column).alias("value")))
-        for i, r in enumerate(ranks)
+        for i, (r, *_) in enumerate(brackets)
     ]
+    anywhere = reduce(or_, [r.is_inside() for r, *_ in brackets])
     return (
-        df.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+        df.where(anywhere)
+        .select(F.explode(F.array(*hits)).alias("hit"))
+        .where("hit IS NOT NULL")
         .groupBy("hit.i", "hit.value")
         .agg(F.count("*").alias("n"))
     )
 
 
 def _pick(df: DataFrame, ranks: Sequence[_Rank]) -> None:
-    """Read the wanted value off the histogram of every bracket that is small enough."""
-    open_ranks = [r for r in ranks if r.value is None and r.inside]
-    small = [r for r in open_ranks if r.inside <= MAX_COLLECT]
-    large = [r for r in open_ranks if r.inside > MAX_COLLECT]
+    """Read the wanted values off the histogram of every bracket that is small enough."""
+    brackets = _brackets([r for r in ranks if r.value is None and r.inside])
+    small = [same for same in brackets if same[0].inside <= MAX_COLLECT]
+    large = [same for same in brackets if same[0].inside > MAX_COLLECT]
     if large:  # many rows, but perhaps few distinct values
         sizes = _histogram(df, large).groupBy("i").agg(F.count("*").alias("n")).collect()
         small += [large[row["i"]] for row in sizes if row["n"] <= MAX_COLLECT]
     if not small:
         return
-    left = {i: r.rank - r.below for i, r in enumerate(small)}
+    seen = [same[0].below for same in small]
     for row in _histogram(df, small).orderBy("i", "value").collect():
         i = row["i"]
-        if small[i].value is None:
-            left[i] -= row["n"]
-            if left[i] < 0:
-                small[i].value = row["value"]
+        seen[i] += row["n"]
+        for r in small[i]:
+            if r.value is None and r.rank < seen[i]:
+                r.value = row["value"]
 
 
 def _narrow(df: DataFrame, ranks: Sequence[_Rank]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +13,7 @@ from claimlens import constants as C
 from claimlens.functions.text import plan_explanation
 from claimlens.operators import reports
 from claimlens.operators.joins import skew_join
-from claimlens.operators.neighbours import nearest_vectors, unit_vector
+from claimlens.operators.neighbours import nearest_vectors
 from claimlens.operators.transforms import ZScaler, ZScalerModel
 
 MAX_PLANS = 200  # width of the collaborative matrix; a catalogue of plans, not of members
@@ -24,17 +25,21 @@ def top_plans(scores: DataFrame, n: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def _ranked(scores: list[Column]) -> Column:
-    """Array of (plan, score) structs, best first, ties in plan order; no shuffle."""
-    swapped = F.array_sort(F.array(*scores))
-    return F.transform(swapped, lambda s: F.struct(s["plan"].alias("plan"), (-s["minus"]).alias("score")))
+def _entry(score: Column, plan: Column | str) -> Column:
+    """Entry of a ranking: sorts best score first, ties in plan order."""
+    return F.struct((-score + F.lit(0.0)).alias("minus"), (F.lit(plan) if isinstance(plan, str) else plan).alias("plan"))
+
+
+def _ranked(scores: Mapping[str, Column]) -> Column:
+    """Sorted array of one entry per plan; no shuffle."""
+    return F.sort_array(F.array(*[_entry(score, plan) for plan, score in scores.items()]))
 
 
 # --- content-based ------------------------------------------------------------------------------
 
 
 def content_ranking(profiles: DataFrame, n: int = 3) -> DataFrame:
-    """Add ``ranking``: cosine of a member's risk and income with each plan, best ``n`` first."""
+    """Add ``ranking``: cosine of a member's risk and income with each plan, the best ``n``."""
 
     def value(name: str, default: float) -> Column:
         return F.coalesce(F.col(name).cast("double"), F.lit(default)) if name in profiles.columns else F.lit(default)
@@ -48,19 +53,20 @@ def content_ranking(profiles: DataFrame, n: int = 3) -> DataFrame:
     frame = profiles.withColumns({"_risk": risk, "_income": value("income_score", 0.5)})
     member = [F.col("_risk"), 1 - F.col("_income"), F.col("_income")]
     length = F.sqrt(sum((x * x for x in member[1:]), member[0] * member[0]))
-    scores = []
+    scores = {}
     for plan, (premium, coverage, deductible) in C.PLAN_SCORES.items():
         need = [coverage / 5, (5 - deductible) / 5, premium / 5]
         along = member[0] * need[0] + member[1] * need[1] + member[2] * need[2]
-        similarity = along / (length * float(np.linalg.norm(need)))
-        scores.append(F.struct((-similarity).alias("minus"), F.lit(plan).alias("plan")))
+        scores[plan] = along / (length * float(np.linalg.norm(need)))
     return frame.withColumn("ranking", F.slice(_ranked(scores), 1, n)).drop("_risk", "_income")
 
 
 def _unfold(ranked: DataFrame, digits: int | None = 4) -> DataFrame:
     """(member, plan, score, rank) rows of a ``ranking`` array."""
-    rows = ranked.select("member_id", F.posexplode("ranking").alias("pos", "hit"))
-    score = F.col("hit.score") if digits is None else F.round("hit.score", digits)
+    # the outer form, because Spark evaluates an exploded expression twice to skip empty arrays early
+    rows = ranked.select("member_id", F.posexplode_outer("ranking").alias("pos", "hit")).where("pos IS NOT NULL")
+    value = 0.0 - F.col("hit.minus")
+    score = value if digits is None else F.round(value, digits)
     return rows.select("member_id", F.col("hit.plan").alias("plan"), score.alias("score"), (F.col("pos") + 1).alias("rank"))
 
 
@@ -85,12 +91,10 @@ class CollaborativeModel:
     def scores(self, interactions: DataFrame) -> DataFrame:
         """Add one row per known member with ``ranking`` over all plans."""
         ratings = _ratings(interactions, self.plans)
-        scores = []
+        scores = {}
         for j, plan in enumerate(self.plans):
             weights = [(i, float(w)) for i, w in enumerate(self.projection[:, j]) if w]
-            total = sum((F.col(f"_p{i}") * w for i, w in weights), F.lit(0.0))
-            # + 0.0 turns a negative zero into zero, so that ties stay ties
-            scores.append(F.struct((-total + F.lit(0.0)).alias("minus"), F.lit(plan).alias("plan")))
+            scores[plan] = sum((F.col(f"_p{i}") * w for i, w in weights), F.lit(0.0))
         return ratings.select("member_id", _ranked(scores).alias("ranking"))
 
 
@@ -149,7 +153,9 @@ def profile_vectors(profiles: DataFrame, scaler: ZScalerModel, *carry: str) -> D
         ],
     )
     scaled = scaler.transform(filled)
-    return scaled.select("member_id", *carry, unit_vector(F.array(*columns)).alias("vec"))
+    length = F.sqrt(sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0])))
+    unit = F.array(*[F.col(c) / F.when(length > 0, length).otherwise(1.0) for c in columns])
+    return scaled.select("member_id", *carry, unit.alias("vec"))
 
 
 def fit_profile_scaler(members: DataFrame) -> ZScalerModel:
@@ -176,13 +182,8 @@ def knn_ranking(
     votes = hits.groupBy("vec", F.col("hit.payload").alias("plan")).agg(
         F.sum(1 / (F.col("hit.distance") + 1e-9)).alias("score")
     )
-    ranked = votes.groupBy("vec").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "plan"))).alias("_votes")
-    )
-    ranking = F.transform(
-        F.slice("_votes", 1, n), lambda s: F.struct(s["plan"].alias("plan"), (-s["minus"]).alias("score"))
-    )
-    per_vector = ranked.select("vec", ranking.alias("ranking"))
+    ranking = F.sort_array(F.collect_list(_entry(F.col("score"), F.col("plan"))))
+    per_vector = votes.groupBy("vec").agg(F.slice(ranking, 1, n).alias("ranking"))
     return skew_join(asked, per_vector, "vec", F.col("member_id")).select("member_id", "ranking")
 
 
@@ -197,9 +198,7 @@ def fallback_ranking(age: Column, chronic: Column) -> Column:
     """Rule-based plans by age and number of conditions."""
 
     def tier(name: str) -> Column:
-        return F.array(
-            *[F.struct(F.lit(plan).alias("plan"), F.lit(score).alias("score")) for plan, score in C.FALLBACK_PLANS[name]]
-        )
+        return F.array(*[_entry(F.lit(score), plan) for plan, score in C.FALLBACK_PLANS[name]])
 
     return (
         F.when((age > 60) | (chronic >= 3), tier("senior"))

@@ -15,7 +15,7 @@ from claimlens.operators.claim_features import ClaimFeatures, ClaimFeaturesModel
 from claimlens.operators.columns import normalise_columns, prediction_view, with_defaults
 from claimlens.operators.fraud_features import FraudFeatures, FraudFeaturesModel
 from claimlens.plans import claim_models, fraud_models
-from claimlens.session import stage
+from claimlens.session import stage, staging
 from claimlens.sources import readers, writers
 
 MODULES = ("all", "claim", "fraud", "recommend", "ingest")
@@ -71,6 +71,17 @@ def run(
     if module not in MODULES:
         raise ValueError(f"module is one of {', '.join(MODULES)}")
     spark = tables["claims"].sparkSession
+    with staging(spark):
+        aucs, best = _train(tables, out, module, families, rounds, fraud_rounds, restarts, folds)
+    metrics = evaluation.metrics_frame(spark, aucs)
+    passed = all(auc >= min_auc for auc in aucs.values())
+    writers.write_run_results(spark, f"{out}/run_results", best, aucs, passed)
+    return evaluation.enforce_gate(metrics, min_auc) if enforce else evaluation.quality_gate(metrics, min_auc)
+
+
+def _train(tables, out, module, families, rounds, fraud_rounds, restarts, folds) -> tuple[dict[str, float], str | None]:
+    """AUC per trained model and the best claim family; models and predictions are written."""
+    spark = tables["claims"].sparkSession
     writers.write_json(reports.dataset_stats(dict(tables)), f"{out}/dataset_stats")
     ready = preprocess_all(tables)
     ready.claim_model.write().overwrite().save(f"{out}/models/claim_features")
@@ -111,37 +122,34 @@ def run(
         )
     if module in ("all", "recommend"):
         run_recommend(tables["members"], out)
-    gated = evaluation.quality_gate(evaluation.metrics_frame(spark, aucs), min_auc)
-    passed = all(auc >= min_auc for auc in aucs.values())
-    writers.write_run_results(spark, f"{out}/run_results", best, aucs, passed)
-    if enforce:
-        evaluation.enforce_gate(evaluation.metrics_frame(spark, aucs), min_auc)
-    return gated
+    return aucs, best
 
 
 def run_lake(
     spark: SparkSession, raw: str, out: str, rounds: int = 100, threshold: float = C.HIGH_COST_AMOUNT
 ) -> float:
     """Read the lake's Parquet tables, train, write predictions and both reports; returns the AUC."""
-    claims = readers.read_parquet(spark, f"{raw}/claims")
-    members = readers.read_parquet(spark, f"{raw}/members")
-    wanted = ["member_id", "age", "bmi", "smoker", "plan_type", "num_chronic_conditions"]
-    wanted += [c for c in ("state",) if c not in claims.columns]
-    joined = joins.skew_join(claims, members.select(*wanted), "member_id", F.col("claim_id"))
-    frame = stage(lake_features(joined, threshold), "lake-features")
-    model, auc = claim_models.train_claim_lake(frame, rounds)
-    model.write().overwrite().save(f"{out}/models/claim_approval")
-    writers.write_report(prediction_view(model.transform(frame)), f"{out}/claim_predictions")
-    writers.write_report(reports.monthly_trend(frame), f"{out}/analytics/monthly_trends")
-    writers.write_report(reports.provider_risk_top(frame), f"{out}/analytics/provider_risk")
-    return auc
+    with staging(spark):
+        claims = readers.read_parquet(spark, f"{raw}/claims")
+        members = readers.read_parquet(spark, f"{raw}/members")
+        wanted = ["member_id", "age", "bmi", "smoker", "plan_type", "num_chronic_conditions"]
+        wanted += [c for c in ("state",) if c not in claims.columns]
+        joined = joins.skew_join(claims, members.select(*wanted), "member_id", F.col("claim_id"))
+        frame = stage(lake_features(joined, threshold), "lake-features")
+        model, auc = claim_models.train_claim_lake(frame, rounds)
+        model.write().overwrite().save(f"{out}/models/claim_approval")
+        writers.write_report(prediction_view(model.transform(frame)), f"{out}/claim_predictions")
+        writers.write_report(reports.monthly_trend(frame), f"{out}/analytics/monthly_trends")
+        writers.write_report(reports.provider_risk_top(frame), f"{out}/analytics/provider_risk")
+        return auc
 
 
 def run_text(note_table: DataFrame, feedback: DataFrame, out: str, **options) -> notes.TextClassifier:
     """Clean notes, save them, train the diagnosis classifier and rate the feedback (column ``text``)."""
-    cleaned = stage(notes.clean_notes(note_table), "cleaned-notes")
-    writers.write_csv(cleaned, f"{out}/cleaned_notes")
-    classifier = notes.train_note_classifier(cleaned, **options)
+    with staging(note_table.sparkSession):
+        cleaned = stage(notes.clean_notes(note_table), "cleaned-notes")
+        writers.write_csv(cleaned, f"{out}/cleaned_notes")
+        classifier = notes.train_note_classifier(cleaned, **options)
     classifier.model.write().overwrite().save(f"{out}/models/diagnosis")
     rated = feedback.withColumn("sentiment", keyword_sentiment(F.col("text"), "token"))
     writers.write_report(rated, f"{out}/feedback_sentiment")
@@ -150,10 +158,11 @@ def run_text(note_table: DataFrame, feedback: DataFrame, out: str, **options) ->
 
 def run_recommend(members: DataFrame, out: str, n: int = 3) -> DataFrame:
     """Fit the hybrid on enrolments, save it, and write every member's plans."""
-    recommender = recommend.HybridRecommender.fit(members)
-    recommender.save_to(f"{out}/models/recommender")
-    plans = recommender.recommend(members, n).select(
-        "member_id", F.col("plan").alias("recommended_plan"), F.col("score").alias("recommendation_score")
-    )
-    writers.write_predictions(plans, f"{out}/plan_recommendations", "1")
+    with staging(members.sparkSession):
+        recommender = recommend.HybridRecommender.fit(members)
+        recommender.save_to(f"{out}/models/recommender")
+        plans = recommender.recommend(members, n).select(
+            "member_id", F.col("plan").alias("recommended_plan"), F.col("score").alias("recommendation_score")
+        )
+        writers.write_predictions(plans, f"{out}/plan_recommendations", "1")
     return members.sparkSession.read.parquet(f"{out}/plan_recommendations")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,18 +34,24 @@ def stage_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; a cluster without it is an
     error, because a machine-local folder would be lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="claimlens-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="claimlens-"))
+    return context.getCheckpointDir()
+
+
+_scopes: list[list[str]] = []
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    return f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -55,3 +63,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside the block when it ends; for jobs whose results are written out."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from claimlens import fixtures as fx
 from claimlens import schemas
 from claimlens.operators import recommend
 from claimlens.plans import claim_models, fraud_models, jobs
-from claimlens.session import new_stage_path, stage, stage_dir
+from claimlens.session import new_stage_path, stage, stage_dir, staging
 from claimlens.sources import readers, writers
 from claimlens.streaming import scoring
 
@@ -161,15 +163,20 @@ def test_document_limit(spark):
     assert readers.read_documents(spark, path, "id long, _id long", limit=4).count() == 4
 
 
-def test_stage_uses_the_configured_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-        assert stage_dir(spark) == str(tmp_path)
+def test_stage_folder_is_the_configured_one():
+    def session(master, configured=None, own=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: own)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: configured))
+
+    assert stage_dir(session("spark://host", "hdfs://shared/dir/")) == "hdfs://shared/dir"
+    assert stage_dir(session("local[2]", None, "/own")) == "/own"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        stage_dir(session("spark://host"))
+
+
+def test_staging_removes_its_tables(spark):
+    with staging(spark):
         staged = stage(spark.range(5), "numbers")
-        assert staged.count() == 5 and any(tmp_path.iterdir())
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+        path = staged.inputFiles()[0]
+        assert staged.count() == 5 and readers.path_exists(spark, path)
+    assert not readers.path_exists(spark, path)
