@@ -10,21 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def buckets_json(spark: SparkSession, codes: Mapping[str, int]) -> str:
-    """The dictionary as a JSON array of small maps, placed by Spark's own ``hash`` of the word.
+def bucketed(spark: SparkSession, dictionaries: Mapping[str, Mapping[str, int]]) -> dict[str, str]:
+    """Each dictionary as a JSON array of small maps, placed by Spark's own ``hash`` of the word.
 
     Spark searches a map literal from its first entry; one map per hash bucket keeps that search to a
     few entries however many words there are.
     """
-    size = max(1, len(codes))
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("code", T.IntegerType())])
-    rows = spark.createDataFrame(list(codes.items()), schema).select(
-        "word", "code", F.pmod(F.hash("word"), F.lit(size)).alias("bucket")
+    rows = [(name, word, code, len(codes)) for name, codes in dictionaries.items() for word, code in codes.items()]
+    placed = spark.createDataFrame(rows, "name string, word string, code int, size int").select(
+        "name", "word", "code", F.pmod(F.hash("word"), F.col("size")).alias("bucket")
     )
-    buckets: list[dict[str, int]] = [{} for _ in range(size)]
-    for row in rows.collect():
-        buckets[row["bucket"]][row["word"]] = row["code"]
-    return json.dumps(buckets)
+    buckets = {name: [{} for _ in range(max(1, len(codes)))] for name, codes in dictionaries.items()}
+    for row in placed.collect():
+        buckets[row["name"]][row["bucket"]][row["word"]] = row["code"]
+    return {name: json.dumps(maps) for name, maps in buckets.items()}
 
 
 def lookup(word: Column, buckets: str, missing: int, size: int) -> Column:

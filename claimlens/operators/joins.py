@@ -122,6 +122,15 @@ def with_member_stats(claims: DataFrame, stats: DataFrame | None = None) -> Data
     return skew_join(claims, stats, "member_id", F.col("claim_id"), hot)
 
 
+def with_claim_stats(
+    claims: DataFrame, providers: DataFrame | None = None, members: DataFrame | None = None
+) -> DataFrame:
+    """Claims with both statistics, each aggregated from the claims as given (not from a joined frame)."""
+    providers = provider_stats(claims) if providers is None else providers
+    members = member_stats(claims) if members is None else members
+    return with_member_stats(with_provider_stats(claims, providers), members)
+
+
 def enrich_requests(
     requests: DataFrame, providers: DataFrame, members: DataFrame
 ) -> DataFrame:

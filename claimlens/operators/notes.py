@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from claimlens import constants as C
 from claimlens.functions import text as X
-from claimlens.functions.lookup import buckets_json
+from claimlens.functions.lookup import bucketed
 from claimlens.functions.vectors import padded_ids
 from claimlens.operators.ranking import plain_split, stratified_split
 
@@ -47,7 +47,7 @@ class Vocabulary:
     @classmethod
     def of(cls, vocab: DataFrame) -> Vocabulary:
         codes = {row["word"]: row["word_id"] for row in vocab.select("word", "word_id").collect()}
-        return cls(buckets_json(vocab.sparkSession, codes), max(1, len(codes)))
+        return cls(bucketed(vocab.sparkSession, {"words": codes})["words"], max(1, len(codes)))
 
 
 def encode_notes(

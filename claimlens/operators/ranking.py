@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 SLICE_DIGITS = 3  # leading hex digits of the hash: 4096 even slices per group
 
 
-def hash_rank(df: DataFrame, groups: list[str], key: str, seed: int, name: str = "rank") -> DataFrame:
-    """1-based rank of each row in its group, in the order of ``md5(key + seed)``.
+def hash_rank(
+    df: DataFrame, groups: list[str], key: str, seed: int, name: str = "rank", size: str | None = None
+) -> DataFrame:
+    """1-based rank of each row in its group, in the order of ``md5(key + seed)``; ``size`` adds the group's size.
 
     Equal to ``row_number() over (partition by groups order by md5, key)``; ``key`` must be unique.
     """
@@ -23,7 +25,9 @@ def hash_rank(df: DataFrame, groups: list[str], key: str, seed: int, name: str =
     )
     sizes = hashed.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     running = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
     before = sizes.select(
+        *([F.sum("_n").over(whole).alias(size)] if size else []),
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
         F.col("_slice").alias("_s"),
         F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
@@ -40,21 +44,13 @@ def hash_rank(df: DataFrame, groups: list[str], key: str, seed: int, name: str =
     )
 
 
-def _group_sizes(df: DataFrame, groups: list[str]) -> DataFrame:
-    return df.groupBy(*groups).agg(F.count("*").alias("_size"))
-
-
 def stratified_split(
     df: DataFrame, label: str, key: str, test_fraction: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``is_test``: exactly ``round(test_fraction * size)`` rows of every label, chosen by hash."""
-    ranked = hash_rank(df, [label], key, seed, "_rank")
-    sizes = _group_sizes(df, [label]).withColumnRenamed(label, "_label")
-    return (
-        ranked.join(sizes, F.col(label).eqNullSafe(F.col("_label")))
-        .withColumn("is_test", (F.col("_rank") <= F.round(F.col("_size") * test_fraction)).cast("int"))
-        .drop("_rank", "_size", "_label")
-    )
+    ranked = hash_rank(df, [label], key, seed, "_rank", "_size")
+    in_test = F.col("_rank") <= F.round(F.col("_size") * test_fraction)
+    return ranked.withColumn("is_test", in_test.cast("int")).drop("_rank", "_size")
 
 
 def plain_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
-from claimlens.functions.lookup import buckets_json, lookup
+from claimlens.functions.lookup import bucketed, lookup
 from claimlens.operators.quantiles import SKETCH_ACCURACY, exact_quantiles
 
 
@@ -97,12 +97,12 @@ class LabelIndexer(_ColumnEstimator):
         )
         # one row per code of a code set, never per claim
         classes = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
-        state = {}
+        codes = {}
         for c in columns:
             values = sorted(r["value"] for r in classes if r["name"] == c)
-            codes = {value: i for i, value in enumerate(values)}
-            state[c] = [buckets_json(df.sparkSession, codes), len(codes)]
-        return LabelIndexerModel(state)
+            codes[c] = {value: i for i, value in enumerate(values)}
+        buckets = bucketed(df.sparkSession, codes)
+        return LabelIndexerModel({c: [buckets[c], len(codes[c])] for c in columns})
 
 
 class ZScalerModel(StateModel):

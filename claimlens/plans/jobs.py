@@ -42,11 +42,11 @@ def preprocess_all(tables: Mapping[str, DataFrame], approx: bool = False) -> Pre
     """Both feature matrices from one staged table of enriched claims."""
     claims = stage(prepare_claims(tables["claims"], tables.get("members")), "enriched-claims")
     claim_model = ClaimFeatures(approx=approx).fit(claims)
-    fraud_model = FraudFeatures().fit(claims)
+    fraud_model, fraud_features = FraudFeatures().fit_transform(claims)
     return Preprocessed(
         claims,
         stage(claim_model.transform(claims), "claim-features"),
-        stage(fraud_model.transform(claims), "fraud-features"),
+        fraud_features,
         claim_model,
         fraud_model,
     )

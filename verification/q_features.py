@@ -258,7 +258,7 @@ raw AS (SELECT claim_id, is_fraud, claim_amount, CAST(num_procedures AS DOUBLE)
     )
 )
 def fraud_ratios(spark, base):
-    claims = joins.with_member_stats(joins.with_provider_stats(fx.claims(spark, base)))
+    claims = joins.with_claim_stats(fx.claims(spark, base))
     return rounded(
         fraud_features.fraud_ratios(claims).select(
             "claim_id", "amount_vs_provider_avg", "amount_vs_member_avg", "procedure_density"
@@ -367,4 +367,4 @@ def _fraud_matrix_sql() -> str:
 @query(_fraud_matrix_sql())
 def fraud_feature_matrix(spark, base):
     claims = stage(fx.claims(spark, base), "claims")
-    return rounded(fraud_features.FraudFeatures().fit(claims).transform(claims))
+    return rounded(fraud_features.FraudFeatures().fit_transform(claims)[1])

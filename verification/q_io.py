@@ -269,8 +269,8 @@ def streamed_claim_quarantine(spark, base):
 def streamed_fraud_scores(spark, base):
     """Fraud requests scored from stored statistics."""
     claims = stage(fx.claims(spark, base), "claims")
-    features = FraudFeatures().fit(claims)
-    model = fraud_models.train_fraud(features.transform(claims), trees=50, restarts=1, supervised=False)
+    features, matrix = FraudFeatures().fit_transform(claims)
+    model = fraud_models.train_fraud(matrix, trees=50, restarts=1, supervised=False)
     source, out, checkpoint = (new_stage_path(spark, n) for n in ("fraud-requests", "fraud-scores", "fraud-checkpoint"))
     names = [f for f in schemas.FRAUD_REQUEST.names if f in claims.columns]
     writers.append_documents(claims.select(*names), source)

@@ -325,7 +325,7 @@ def lake_model_predictions(spark, base):
 def fraud_model_scores(spark, base):
     """Isolation forest, clusters and their combination, trained on all claims."""
     claims = stage(fx.claims(spark, base), "claims")
-    features = fraud_features.FraudFeatures().fit(claims).transform(claims)
+    _, features = fraud_features.FraudFeatures().fit_transform(claims)
     model = fraud_models.train_fraud(features, restarts=3, supervised=False)
     return model.predict(features)
 
