@@ -136,13 +136,16 @@ def enrich_requests(
 ) -> DataFrame:
     """Requests with stored provider and member statistics; a value sent with the request wins.
 
-    Plain left joins, so the same code serves a batch and a stream joined to static tables.
+    A batch may hold a hot key; a stream joins the static tables directly.
     """
     out = requests
     for stats, key in ((providers, "provider_id"), (members, "member_id")):
         stored = [c for c in stats.columns if c != key]
         renamed = stats.select(key, *[F.col(c).alias(f"_stored_{c}") for c in stored])
-        out = out.join(renamed, key, "left")
+        if out.isStreaming:
+            out = out.join(renamed, key, "left")
+        else:
+            out = skew_join(out, renamed, key, F.col("claim_id"))
         for c in stored:
             value = F.col(f"_stored_{c}")
             out = out.withColumn(c, F.coalesce(F.col(c), value) if c in out.columns else value)
@@ -153,10 +156,12 @@ def enrich_requests(
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent.
 
-    The distinct child keys are checked first, so a key shared by many rows travels once; the rows
-    themselves then meet the (small) set of orphan keys.
+    Keys are counted first, so a key shared by many rows meets the parents once; the rows themselves
+    then meet the orphan keys, a hot one salted.
     """
+    counts = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     parent_keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    keys = child.where(F.col(key).isNotNull()).select(key).distinct()
-    missing = keys.join(parent_keys, key, "left_anti")
-    return child.join(missing, key, "left_semi")
+    missing = counts.join(parent_keys, key, "left_anti").select(key, F.lit(True).alias("_orphan"))
+    rows = child.where(F.col(key).isNotNull())
+    marked = skew_join(rows, missing, key, F.struct(*child.columns), heavy(counts, key, "_n"))
+    return marked.where("_orphan").select(*child.columns)

@@ -29,6 +29,8 @@ QUERY_UNIT = 2048  # queries per work unit
 POINT_UNIT = 16_384  # points per work unit
 BLOCK = 256  # query rows per distance matrix
 SLACK = 1e-6  # rounding of chord lengths
+FARTHEST = 2.0 + 1e-9  # no cosine distance is larger
+EDGE = 1e-12  # rounding of a distance computed twice
 
 
 def unit_vector(vector: Column) -> Column:
@@ -60,7 +62,7 @@ def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _other_cells(searched: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
-    """One row per (query, further cell that may hold a point within the query's ``bound``).
+    """One row per (query, further cell that may hold a point within the query's ``limit``).
 
     No point of cell j is nearer than the chord to pivot j less the cell's radius, nor nearer than the
     plane between pivot j and the query's own pivot.
@@ -75,12 +77,14 @@ def _other_cells(searched: DataFrame, pivots: np.ndarray, radius: np.ndarray) ->
                 home = chords[np.arange(len(own)), own][:, None]
                 plane = (chords**2 - home**2) / np.maximum(2.0 * between[own], SLACK)
                 floor = np.maximum(chords - radius, plane)
-                wanted = (floor <= batch["bound"].to_numpy()[:, None] + SLACK) & (radius >= 0)
+                reach = np.sqrt(2.0 * batch["limit"].to_numpy())[:, None]  # chord of the cosine distance
+                wanted = (floor <= reach + SLACK) & (radius >= 0)
                 wanted[np.arange(len(own)), own] = False
                 rows, cells = np.nonzero(wanted)
-                yield pd.DataFrame({"vec": batch["vec"].to_numpy()[rows], "cell": cells.astype("int32")})
+                out = batch[["vec", "limit"]].iloc[rows]
+                yield out.assign(cell=cells.astype("int32"))
 
-    return searched.select("vec", "cell", "bound").mapInPandas(run, "vec array<double>, cell int")
+    return searched.select("vec", "cell", "limit").mapInPandas(run, "vec array<double>, limit double, cell int")
 
 
 def _per_cell(values: np.ndarray, cell: Column) -> Column:
@@ -89,37 +93,41 @@ def _per_cell(values: np.ndarray, cell: Column) -> Column:
 
 
 def _nearest_in_unit(k: int):
-    """Best ``k`` points of a unit for each of its queries, ties in key order."""
+    """Best ``k`` points of a unit for each of its queries, ties in key order, none beyond the query's limit."""
 
     def run(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"vec": [], "distance": [], "key": [], "payload": []})
-        points = points.sort_values("key", kind="stable")
-        keys, payload = points["key"].to_numpy(), points["payload"].to_numpy()
-        target = _matrix(points["vec"])
-        keep = min(k, len(points))
-        found: dict[str, list] = {"distance": [], "key": [], "payload": []}
-        for start in range(0, len(queries), BLOCK):
-            block = _matrix(queries["vec"].iloc[start : start + BLOCK])
-            distances = np.maximum(0.0, 1.0 - block @ target.T)
-            near = np.argpartition(distances, keep - 1, axis=1)[:, :keep]
-            limit = np.take_along_axis(distances, near, axis=1).max(axis=1, keepdims=True)
-            for row in np.flatnonzero((distances <= limit).sum(axis=1) > keep):  # ties at the edge
-                tied = np.flatnonzero(distances[row] <= limit[row])
-                near[row] = tied[np.argsort(distances[row, tied], kind="stable")][:keep]
-            length = np.take_along_axis(distances, near, axis=1)
-            order = np.lexsort((near, length), axis=-1)
-            near = np.take_along_axis(near, order, axis=1)
-            found["distance"] += list(np.take_along_axis(length, order, axis=1))
-            found["key"] += list(keys[near])
-            found["payload"] += list(payload[near])
-        return pd.DataFrame({"vec": queries["vec"].to_numpy(), **found})
+        found: dict[str, list] = {"vec": [], "distance": [], "key": [], "payload": []}
+        if len(queries) and len(points):
+            points = points.sort_values("key", kind="stable")
+            keys, payload = points["key"].to_numpy(), points["payload"].to_numpy()
+            target = _matrix(points["vec"])
+            vectors, limits = queries["vec"].to_numpy(), queries["limit"].to_numpy()
+            keep = min(k, len(points))
+            for start in range(0, len(queries), BLOCK):
+                block = vectors[start : start + BLOCK]
+                distances = np.maximum(0.0, 1.0 - np.vstack(block) @ target.T)
+                near = np.argpartition(distances, keep - 1, axis=1)[:, :keep]
+                last = np.take_along_axis(distances, near, axis=1).max(axis=1, keepdims=True)
+                for row in np.flatnonzero((distances <= last).sum(axis=1) > keep):  # ties at the edge
+                    tied = np.flatnonzero(distances[row] <= last[row])
+                    near[row] = tied[np.argsort(distances[row, tied], kind="stable")][:keep]
+                length = np.take_along_axis(distances, near, axis=1)
+                order = np.lexsort((near, length), axis=-1)
+                near, length = (np.take_along_axis(x, order, axis=1) for x in (near, length))
+                hits = (length <= limits[start : start + BLOCK, None]).sum(axis=1)
+                for row in np.flatnonzero(hits):
+                    n = hits[row]
+                    found["vec"].append(block[row])
+                    found["distance"].append(length[row, :n])
+                    found["key"].append(keys[near[row, :n]])
+                    found["payload"].append(payload[near[row, :n]])
+        return pd.DataFrame(found)
 
     return run
 
 
 def _search(asked: DataFrame, points: DataFrame, n_points: np.ndarray, k: int) -> DataFrame:
-    """Best ``k`` hits of each (query, cell) in ``asked`` among the cell's points.
+    """Best ``k`` hits of each (query, cell) in ``asked`` among the cell's points, up to its ``limit``.
 
     Both sides are dealt into parts of bounded size; every (query part, point part) pair is one unit.
     """
@@ -136,7 +144,7 @@ def _search(asked: DataFrame, points: DataFrame, n_points: np.ndarray, k: int) -
     def every(parts: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), parts - 1))
 
-    left = asked.select("vec", "cell", part("vec", query_parts).alias("query_part"), every(point_parts).alias("point_part"))
+    left = asked.select("vec", "limit", "cell", part("vec", query_parts).alias("query_part"), every(point_parts).alias("point_part"))
     # a cell nobody asks for is not sent anywhere
     wanted = F.get(F.from_json(F.lit(str([int(v) for v in n_queries])), "array<int>"), cell) > 0
     right = points.where(wanted).select(
@@ -191,16 +199,14 @@ def nearest_vectors(queries: DataFrame, points: DataFrame, k: int, pivots: int |
     # the one zero vector a table can hold joins every cell, where the first search meets it
     every_cell = F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1)))
     targets = cells.drop("reach").unionByName(points.where(zero).withColumn("cell", every_cell))
-    at_home = _assign(asked.where(~zero), centres).drop("reach")
+    at_home = _assign(asked.where(~zero), centres).drop("reach").withColumn("limit", F.lit(FARTHEST))
     first = _best(_search(at_home, targets, n_points, k), k)
     if len(centres) == 1:
         return first.unionByName(found)
 
-    kth = F.try_element_at("neighbours", F.lit(k))["distance"]
-    bound = F.least(F.sqrt(F.coalesce(kth, F.lit(2.0)) * 2), F.lit(2.0))
-    searched = stage(
-        at_home.join(first, "vec", "left").withColumn("bound", bound), "searched"
-    )
+    kth = F.try_element_at("neighbours", F.lit(k))["distance"] + EDGE
+    searched = at_home.drop("limit").join(first, "vec", "left")
+    searched = stage(searched.withColumn("limit", F.least(F.coalesce(kth, F.lit(FARTHEST)), F.lit(FARTHEST))), "searched")
     further = stage(_other_cells(searched, centres, radius), "further")
     hits = searched.select("vec", F.explode("neighbours").alias("hit")).unionByName(
         _search(further, cells.drop("reach"), n_points, k)

@@ -16,6 +16,7 @@ from claimlens.functions import text as X
 from claimlens.functions.lookup import bucketed
 from claimlens.functions.vectors import padded_ids
 from claimlens.operators.ranking import plain_split, stratified_split
+from claimlens.session import stage
 
 
 def clean_notes(notes: DataFrame, column: str = "clinical_note") -> DataFrame:
@@ -100,10 +101,11 @@ def train_text_classifier(
     split = stratified_split(texts, label, key, test_fraction, seed) if stratified else plain_split(
         texts, key, test_fraction, seed
     )
+    split = stage(split, "text-split")  # every stage of the pipeline reads the texts once more
     train = split.where("is_test = 0")
     indexer = StringIndexer(
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(texts)
+    ).fit(split.select(label))
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+"),
         CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_vocab),

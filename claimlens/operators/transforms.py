@@ -13,6 +13,8 @@ from claimlens import constants as C
 from claimlens.functions.lookup import bucketed, lookup
 from claimlens.operators.quantiles import SKETCH_ACCURACY, exact_quantiles
 
+MAX_CLASSES = 200_000  # codes of all indexed columns together
+
 
 class _HasColumns(Params):
     columns = Param(Params._dummy(), "columns", "columns to transform in place", TypeConverters.toListString)
@@ -96,7 +98,10 @@ class LabelIndexer(_ColumnEstimator):
             ]
         )
         # one row per code of a code set, never per claim
-        classes = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
+        found = df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+        classes = found.limit(MAX_CLASSES + 1).collect()
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes in {', '.join(columns)}: not categories")
         codes = {}
         for c in columns:
             values = sorted(r["value"] for r in classes if r["name"] == c)

@@ -38,7 +38,7 @@ def classifier(family: str, label: str, n_rows: int, rounds: int | None = None,
     if weighting is not None:
         shared["weightCol"] = "weight"
     if family == "logistic":
-        # the penalty is stated per row here, and as a sum over rows with strength 1 in the reference setting
+        # a penalty of strength 1 against the sum over rows is 1/n against their mean
         return LogisticRegression(maxIter=rounds, regParam=1.0 / max(n_rows, 1), standardization=False, **shared)
     if family == "rf":
         return RandomForestClassifier(numTrees=rounds, maxDepth=depth, seed=seed, **shared)

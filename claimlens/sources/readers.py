@@ -7,7 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens import schemas
@@ -158,11 +157,3 @@ def get_data(spark: SparkSession, conf: Mapping[str, str], source: str = "auto")
     if kind == LOCAL:
         return load_dataset(spark, local)
     raise ValueError(f"unknown source {kind!r}")
-
-
-def observed(df: DataFrame, name: str):
-    """Count rows as a by-product of the job that reads them; see ``Observation.get``."""
-    from pyspark.sql import Observation
-
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen

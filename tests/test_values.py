@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from pyspark.errors import AnalysisException  # noqa: F401
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
