@@ -48,6 +48,8 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         .where(F.col("n_docs") >= min_docs)
         .select("key", "last_doc")
     )
+    # Written once, so that the join has two plain exchanges: AQE then splits a key that very many lines share.
+    repeated = stage(repeated, "repeated-lines")
     dropped = runs.join(repeated, "key").where(F.col("doc_id") < F.col("last_doc"))
     words = dropped.groupBy("doc_id", "version", F.shiftright("pos", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("bits")
