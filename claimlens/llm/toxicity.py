@@ -34,10 +34,12 @@ SAMPLE = {0: 4500, 1: 1500}
 LONGEST = 50_000
 GRAM = 6  # letters of the sequences that tell toxic windows
 SUPPORT = 4  # toxic documents that hold such a sequence, at least
-DISTINCT = 5.0  # standard errors by which its log odds must exceed zero
+DISTINCT = 8.0  # signed root of the likelihood ratio from which a sequence tells toxic from ordinary documents
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048  # sizes of the dictionaries
 LEVEL = 3
-CLEAR = 3.0  # standard errors of the log odds from which a pair of lengths counts as toxic
+CLEAR, STRONG = 4.0, 1.0  # the same for a pair of lengths, and its log odds, from which it counts as toxic
+SEGMENT = 24  # bytes of the pieces that the toxic dictionary is put together from: about a word
+PHRASE = 8  # words of the training windows of ordinary text
 PIECE = 32
 CACHED = 300_000  # windows a task remembers
 
@@ -59,17 +61,22 @@ def _grams(window: str) -> set[str]:
 
 
 def _odds(held: int, of: int, other: int, of_other: int) -> tuple[float, float]:
-    """Smoothed log odds of two document shares, and how many standard errors they are from zero."""
+    """Smoothed log odds of two document shares, and the signed root of their likelihood-ratio statistic."""
     odds = math.log((held + 0.25) / (of + 0.5) * (of_other + 0.5) / (other + 0.25 * of_other / of))
-    return odds, odds / math.sqrt(1 / (held + 0.5) + 1 / (other + 0.5))
+    both = (held + other) / (of + of_other)
+    gain = 0.0
+    for n, size in ((held, of), (other, of_other)):
+        for part, expected in ((n, size * both), (size - n, size * (1 - both))):
+            gain += part * math.log(part / expected) if part else 0.0
+    return odds, math.copysign(math.sqrt(max(0.0, 2 * gain)), odds)
 
 
-def _train(size: int, windows: list[str]) -> bytes:
+def _train(size: int, windows: list[str], **cover: int) -> bytes:
     samples = [f" {w} ".encode("utf-8", "replace") for w in windows if w]
     if sum(map(len, samples)) < 8 * size:
         samples *= math.ceil(8 * size / max(1, sum(map(len, samples))))
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(size, samples, **cover).as_bytes()
     except zstandard.ZstdError:  # too few different windows to train on
         return b"".join(dict.fromkeys(samples))[-size:] or b" "
 
@@ -104,7 +111,7 @@ class Lengths:
 class Model:
     ordinary: bytes
     toxic: bytes
-    odds: dict[tuple[int, int, int], tuple[float, float]]  # lengths -> log odds, standard errors from zero
+    odds: dict[tuple[int, int, int], tuple[float, float]]  # lengths -> log odds, root ratio
     weights: np.ndarray
     share: float
 
@@ -112,10 +119,10 @@ class Model:
         beyond, strongest, total = 0, 0.0, 0
         for window, n in windows.items():
             total += n
-            odds, errors = self.odds.get(lengths(window), (0.0, 0.0))
-            if errors >= CLEAR:
+            odds, clear = self.odds.get(lengths(window), (0.0, 0.0))
+            if clear >= CLEAR and odds >= STRONG:
                 beyond += n
-            strongest = max(strongest, odds)
+                strongest = max(strongest, odds)
         return [1.0, strongest, math.log1p(beyond), math.log1p(100 * beyond / (total + 20)), math.log1p(total)]
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -155,7 +162,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         return Model(b"", b"", {}, np.empty(0), share)
     chosen = drawn[0].unionByName(drawn[1])
     texts = docs.where(F.char_length("text") <= LONGEST).select("doc_id", "text").join(chosen, "doc_id")
-    rows = [(r["y"], windows_of(r["text"])) for r in texts.select("y", "text").orderBy("doc_id", "text").collect()]
+    return fit([(r["y"], r["text"]) for r in texts.select("y", "text").orderBy("doc_id", "text").collect()], share)
+
+
+def fit(sample: list[tuple[int, str]], share: float) -> Model:
+    """Dictionaries, thresholds and weights from a sample of (label, text); ``share``: of label 1 among all labels."""
+    rows = [(y, windows_of(text)) for y, text in sample]
     sizes = Counter(y for y, _ in rows)
     if len(sizes) < 2:
         return Model(b"", b"", {}, np.empty(0), share)
@@ -170,8 +182,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
             held[0].update(set().union(*map(_grams, windows)) & often)
     marked = {g for g in often if _odds(held[1][g], sizes[1], held[0][g], sizes[0])[1] > DISTINCT}
     toxic = [w for y, windows in rows if y == 1 for w, n in windows.items() if _grams(w) & marked for _ in range(n)]
-    ordinary = [w for y, windows in rows if y == 0 for w in windows]
-    model = Model(_train(ORDINARY_BYTES, ordinary), _train(TOXIC_BYTES, toxic or ordinary), {}, np.empty(0), share)
+    ordinary = []
+    for words in (text.lower().split() for y, text in sample if y == 0 and text):
+        ordinary += [" ".join(words[at : at + PHRASE]) for at in range(0, len(words), PHRASE)]
+    model = Model(
+        _train(ORDINARY_BYTES, ordinary), _train(TOXIC_BYTES, toxic or ordinary, k=SEGMENT, d=6), {}, np.empty(0), share
+    )
 
     lengths = Lengths(model.ordinary, model.toxic)
     cells: dict[int, Counter[tuple[int, int, int]]] = {0: Counter(), 1: Counter()}
