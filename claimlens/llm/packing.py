@@ -199,16 +199,21 @@ def pack_group(lengths: np.ndarray, size: int = SIZE) -> list[list[int]]:
     return list(search.bins.values())
 
 
-def _packed(group: pd.DataFrame, size: int, round_: int) -> pd.DataFrame:
-    bins = pack_group(group["length"].to_numpy(), size)
-    order = np.array([item for items in bins for item in items], np.int64)
-    number = np.repeat(np.arange(len(bins)), [len(items) for items in bins])
-    out = group.iloc[order].copy()
-    fills = out["length"].groupby(number).transform("sum").to_numpy()
-    out["offset"] = out["length"].groupby(number).cumsum().to_numpy() - out["length"].to_numpy()
-    out["sequence_id"] = (round_ << 56) + (int(group["deal"].iloc[0]) << 24) + number
-    out["closed"] = fills >= FULL * size
-    return out
+def _packer(size: int, round_: int):
+    """Function that packs one group of pieces."""
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        bins = pack_group(group["length"].to_numpy(), size)
+        order = np.array([item for items in bins for item in items], np.int64)
+        number = np.repeat(np.arange(len(bins)), [len(items) for items in bins])
+        out = group.iloc[order].copy()
+        lengths = out["length"].groupby(number)
+        out["offset"] = lengths.cumsum().to_numpy() - out["length"].to_numpy()
+        out["sequence_id"] = (round_ << 56) + (int(group["deal"].iloc[0]) << 24) + number
+        out["closed"] = lengths.transform("sum").to_numpy() >= FULL * size
+        return out
+
+    return packed
 
 
 def pack(docs: DataFrame, size: int = SIZE, ranks: str = RANKS, with_ids: bool = False, group: int = GROUP) -> DataFrame:
@@ -224,9 +229,7 @@ def pack(docs: DataFrame, size: int = SIZE, ranks: str = RANKS, with_ids: bool =
         groups = max(1, round(left / group))
         dealt = open_.withColumn("deal", F.pmod(F.xxhash64("row", F.lit(round_)), F.lit(groups)))
         schema = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes) + ", offset long, sequence_id long, closed boolean"
-        packed = stage(
-            dealt.groupBy("deal").applyInPandas(lambda rows, r=round_: _packed(rows, size, r), schema), "packed"
-        )
+        packed = stage(dealt.groupBy("deal").applyInPandas(_packer(size, round_), schema), "packed")
         if groups == 1:
             done.append(packed.drop("row", "deal", "closed"))
             break
