@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, exact_dedup, langid, licenses, line_dedup, packing, quality, toxicity
+from claimlens.llm import decontaminate, exact_dedup, langid, licenses, line_dedup, main_text, packing, quality, toxicity
 from claimlens.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("version", "blocks")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan,
+        op2_main_text,
         op3_exact_dedup,
         op4_toxicity,
         op5_language_id,
