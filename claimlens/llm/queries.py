@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, exact_dedup, langid, licenses, line_dedup, main_text, packing, quality, toxicity
+from claimlens.llm import decontaminate, exact_dedup, jaccard_join, langid, licenses, line_dedup, main_text, packing, quality, toxicity
 from claimlens.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan,
@@ -69,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_line_dedup,
         op8_packing,
         op9_quality,
+        op10_jaccard_join,
     )
 }
