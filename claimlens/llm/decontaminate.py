@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import ascii_lower, whole, word_list
+from claimlens.llm.common import ascii_lower, fresh, whole, word_list
 from claimlens.session import stage
 
 WINDOW = 10
@@ -137,21 +137,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, rem
     hit = hit.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "spans").dropDuplicates(
         ["_id", "_version"]
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
-    if remove == "documents":
-        return docs.join(hit.drop("spans"), same, "left_anti")
-    covered = F.array_distinct(
-        F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["length"] - 1)))
+    hit = hit.withColumn(
+        "spans",
+        F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["length"] - 1)))),
     )
+    same = docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["_version"])
+    if remove == "documents":
+        return docs.join(hit, same, "left_anti")
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     pieces = F.regexp_extract_all("text", F.lit(f"({word}{gap}*)"), F.lit(1))
     head = F.regexp_extract("text", f"^({gap}*)", 1)
-    rest = F.filter(pieces, lambda _, i: ~F.array_contains(F.col("_covered"), i))
-    return (
-        docs.join(hit.withColumn("_covered", covered).drop("spans"), same, "left")
-        .withColumn(
-            "text", F.when(F.col("_covered").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(rest, "")))
-        )
-        .drop("_id", "_version", "_covered")
-    )
+    covered = fresh(docs, "covered")
+    rest = F.filter(pieces, lambda _, i: ~F.array_contains(F.col(covered), i))
+    joined = docs.join(hit, same, "left").select(*[docs[c] for c in docs.columns], hit["spans"].alias(covered))
+    left = F.concat(head, F.array_join(rest, ""))
+    return joined.withColumn("text", F.when(F.col(covered).isNull(), F.col("text")).otherwise(left)).drop(covered)

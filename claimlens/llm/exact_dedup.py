@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import ascii_lower, whole
+from claimlens.llm.common import ascii_lower, fresh, whole
 from claimlens.session import stage
 
 FAN_BITS = 4  # 16 runs meet in a round
@@ -78,6 +78,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Rows are matched by id and text; where a row repeats another one wholly in id and text, one of them passes.
     """
     stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_key", F.sha2(ascii_lower(whole("text")), 256))
-    found = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha")), "left_semi")
-    return found.dropDuplicates(["doc_id", "_key"]).drop("_key")
+    key = fresh(docs, "key")
+    keyed = docs.withColumn(key, F.sha2(ascii_lower(whole("text")), 256))
+    found = keyed.join(stay, keyed["doc_id"].eqNullSafe(stay["_id"]) & (keyed[key] == stay["_sha"]), "left_semi")
+    return found.dropDuplicates(["doc_id", key]).drop(key)

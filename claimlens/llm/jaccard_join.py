@@ -263,4 +263,5 @@ def linked(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of every component: all columns, texts as they are."""
     gone = linked(docs).where("NOT first").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
-    return docs.join(gone, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_version")), "left_anti")
+    same = (docs["doc_id"] == gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_version"])
+    return docs.join(gone, same, "left_anti")

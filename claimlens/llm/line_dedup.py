@@ -61,13 +61,15 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """All columns of ``docs``, with ``text`` cut to its kept lines, and n_lines, n_dropped, drop_bits."""
-    maps = drop_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("bits").alias("drop_bits"), "n_dropped"
-    )
-    joined = docs.join(
-        maps, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_version")), "left"
-    ).drop("_id", "_version")
+    """All columns of ``docs``, with ``text`` cut to its kept lines, and n_lines, n_dropped, drop_bits.
+
+    Columns of these three names in ``docs`` are replaced.
+    """
+    docs = docs.drop("n_lines", "n_dropped", "drop_bits")
+    maps = drop_bitmaps(docs, min_chars, min_docs)
+    maps = maps.select(F.col("doc_id").alias("_id"), "version", F.col("bits").alias("drop_bits"), "n_dropped")
+    same = (docs["doc_id"] == maps["_id"]) & (F.xxhash64(docs["text"]) == maps["version"])
+    joined = docs.join(maps, same, "left").select(*[docs[c] for c in docs.columns], maps["drop_bits"], maps["n_dropped"])
     kept = F.array_join(
         F.filter(
             _lines(whole("text")),

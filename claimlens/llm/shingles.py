@@ -52,7 +52,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     words = _mixed((sums[ends] - sums[starts]) * inverse[starts])
     n = len(words)
     if n < WORDS:
-        return _mixed(np.array([(words * _PLACE[:n]).sum() + _PLACE[WORDS] * np.uint64(n)]))
+        return _mixed((words * _PLACE[:n]).sum(keepdims=True) + _PLACE[WORDS:] * np.uint64(n))
     joined = words[: n - WORDS + 1] * _PLACE[0]
     for k in range(1, WORDS):
         joined = joined + words[k : n - WORDS + 1 + k] * _PLACE[k]
