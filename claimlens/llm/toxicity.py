@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import learn_row
 
-SAMPLE = {0: 4500, 1: 1500}
+SAMPLE = {0: 3000, 1: 1000}
 LONGEST = 50_000
 GRAM = 6  # letters of the sequences that tell toxic windows
 SUPPORT = 4  # toxic documents that hold such a sequence, at least
-DISTINCT = 8.0  # signed root of the likelihood ratio from which a sequence tells toxic from ordinary documents
+# Signed root of the likelihood ratio from which a sequence tells toxic from ordinary documents: a number, and a share
+# of what a sequence of all toxic and no ordinary documents would reach.
+DISTINCT, DISTINCT_SHARE = 4.0, 0.12
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048  # sizes of the dictionaries
 LEVEL = 3
 CLEAR, STRONG = 4.0, 1.0  # the same for a pair of lengths, and its log odds, from which it counts as toxic
@@ -180,7 +182,8 @@ def fit(sample: list[tuple[int, str]], share: float) -> Model:
     for y, windows in rows:
         if y == 0:
             held[0].update(set().union(*map(_grams, windows)) & often)
-    marked = {g for g in often if _odds(held[1][g], sizes[1], held[0][g], sizes[0])[1] > DISTINCT}
+    distinct = max(DISTINCT, DISTINCT_SHARE * _odds(sizes[1], sizes[1], 0, sizes[0])[1])
+    marked = {g for g in often if _odds(held[1][g], sizes[1], held[0][g], sizes[0])[1] > distinct}
     toxic = [w for y, windows in rows if y == 1 for w, n in windows.items() if _grams(w) & marked for _ in range(n)]
     ordinary = []
     for words in (text.lower().split() for y, text in sample if y == 0 and text):
