@@ -31,7 +31,7 @@ from claimlens.llm.shingles import bitmap, shingle_set, signature
 from claimlens.llm.signature_tree import OVERLAP, SIZES, candidate_pairs
 from claimlens.session import stage
 
-CHUNK = 1024  # nodes of a block or group in one chunk
+CHUNK = 512  # nodes of a block or group in one chunk
 LISTED = 2_000_000  # nodes (16 bytes each) whose list is broadcast to the texts; longer lists are joined by exchange
 
 Find = Callable[[np.ndarray], np.ndarray]
@@ -184,32 +184,42 @@ def _search(rows: DataFrame, exact: bool) -> DataFrame:
     return dealt.mapInArrow(per_unit, "a long, b long")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (node, group, id, version) with its sets and bitmaps, made again from the texts of these rows."""
+def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows to search (unit, chunk, node, size, bitmap, set): sets are made again from the texts of ``wanted`` rows.
+
+    ``wanted``: node, its row (id, version) and the (unit, chunk) pairs it is searched in.
+    """
+
+    schema = pa.schema(
+        [
+            ("unit", pa.int64()), ("chunk", pa.int32()), ("node", pa.int64()),
+            ("n_shingles", pa.int64()), ("bits", pa.binary()), ("set", pa.binary()),
+        ]
+    )
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
-            sets = [shingle_set(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node"),
-                    batch.column("group"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([bitmap(s) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                names=["node", "group", "n_shingles", "bits", "set"],
-            )
-
-    wanted = wanted.withColumnRenamed("doc_id", "_id")
+            for text, node, places in zip(batch.column("text"), batch.column("node"), batch.column("places")):
+                found = shingle_set(text.as_py())
+                facts = (node.as_py(), len(found), bitmap(found), found.tobytes())
+                for place in places.as_py():
+                    held.append((place["unit"], place["chunk"], *facts))
+                    if len(held) >= CHUNK:
+                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in held], schema=schema)
+                        held = []
+        if held:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in held], schema=schema)
+
+    wanted = stage(wanted.withColumnRenamed("doc_id", "_id"), "wanted")
     if wanted.count() <= LISTED:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", "text").join(
         wanted, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
     )
     # Rows repeating id and text give their set again; the search takes a node once.
-    return texts.select("node", "group", "text").mapInArrow(
-        per_batch, "node long, group long, n_shingles long, bits binary, set binary"
+    return texts.select("node", "places", "text").mapInArrow(
+        per_batch, "unit long, chunk int, node long, n_shingles long, bits binary, set binary"
     )
 
 
@@ -233,10 +243,8 @@ def linked(docs: DataFrame) -> DataFrame:
     # The smallest node of a group is its label; it has no label of its own.
     roots = candidates.select(F.col("label").alias("node"), "label").distinct()
     groups = stage(candidates.unionByName(roots).withColumnRenamed("label", "group"), "groups")
-    sets = stage(shingle_sets(docs, groups.join(nodes.drop("n_shingles"), "node")), "sets")
-    searched = in_chunks(sets.select("node", "group").distinct(), "group").join(sets.drop("group"), "node")
-    links = _search(searched.select("unit", "chunk", "node", "n_shingles", "bits", "set"), exact=True)
-    labels = components(links)
+    places = in_chunks(groups, "group").groupBy("node").agg(F.collect_list(F.struct("unit", "chunk")).alias("places"))
+    labels = components(_search(with_sets(docs, places.join(nodes.drop("n_shingles"), "node")), exact=True))
 
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = stage(labelled.select("node", "label", "doc_id", "_version"), "labelled")
