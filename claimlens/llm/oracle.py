@@ -73,26 +73,23 @@ TEMPLATES = """
 
 OP1 = rf"""
 WITH tpl AS (
-  SELECT label, words, string_split(words, ' ') AS seq, list_distinct(string_split(words, ' ')) AS tokens, share, ordered
+  SELECT label, words, len(string_split(words, ' ')) AS n_seq, list_distinct(string_split(words, ' ')) AS tokens, share, ordered
   FROM (VALUES {TEMPLATES}) v(label, words, share, ordered)
 ),
+tok AS (SELECT label, n_seq, unnest(tokens) AS t FROM tpl),
 doc AS (SELECT doc_id, {WORDS} AS w FROM documents),
-place AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS s FROM doc WHERE len(w) > 0),
-block AS (
-  SELECT doc_id, s, label, ordered, words, tokens, share, list_slice(w, s, s + len(seq) - 1) AS b FROM place, tpl
-),
-met AS (
-  SELECT doc_id, s, label, ordered, len(list_intersect(list_distinct(b), tokens)) / len(tokens) AS containment
-  FROM block
-  WHERE len(list_intersect(list_distinct(b), tokens)) >= ceil(share * len(tokens) - 1e-9)
-    AND (NOT ordered OR array_to_string(b, ' ') = words)
-),
+word AS (SELECT doc_id, unnest(w) AS t, unnest(generate_series(1, len(w))) AS p FROM doc),
+start AS (SELECT doc_id, label, t, unnest(generate_series(greatest(1, p - n_seq + 1), p)) AS s FROM word JOIN tok USING (t)),
+met AS (SELECT doc_id, label, s, count(DISTINCT t) AS k FROM start GROUP BY doc_id, label, s),
 found AS (
   SELECT doc_id, count(*) FILTER (WHERE ordered) AS n_base, min(s - 1) FILTER (WHERE ordered) AS first_word,
          max(s - 1) FILTER (WHERE ordered) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE ordered) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(containment) AS score
-  FROM met GROUP BY doc_id
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(k / len(tokens)) AS score
+  FROM met JOIN tpl USING (label) JOIN doc USING (doc_id)
+  WHERE k >= ceil(share * len(tokens) - 1e-9)
+    AND (NOT ordered OR array_to_string(list_slice(w, s, s + n_seq - 1), ' ') = words)
+  GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
