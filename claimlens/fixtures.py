@@ -6,9 +6,13 @@ members, providers, claims, notes and predictions derived from whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens import constants as C
+
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
@@ -127,23 +131,34 @@ def providers(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-NOTE_TEXTS = {
-    0: "Pt presents w/ HTN. BP 145/90.",
-    1: "Dx: DM type 2. Tx: Metformin 500mg!",
-    2: "Follow-up for asthma;  albuterol",
-    3: "Pt reports sob and CP. Hx of CAD",
-    4: "CKD stage 3, N/V overnight",
-    5: "Depression screen positive",
-    6: "Lung cancer follow-up",
-}
+def _in_turn(words: Sequence[str], key: Column) -> Column:
+    """The listed words one after another as ``key`` goes up."""
+    return F.get(F.array(*[F.lit(w) for w in words]), (key % len(words)).cast("int"))
 
 
 def notes(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "orders").select(
-        _code("NOTE", "o_orderkey", 6).alias("note_id"),
-        _code("MBR", "o_custkey", 6).alias("member_id"),
-        F.col("o_orderdate").cast("date").alias("note_date"),
-        _choice(F.col("o_orderkey") % 8, NOTE_TEXTS, "Wound healing well.").alias("clinical_note"),
+    """One note per document: its whole text, then an abbreviation and a keyword of the diagnosis rules in turn."""
+    key = F.col("doc_id")
+    keywords = [*[word for word, _, _ in C.DIAGNOSIS_RULES], "wellness"]
+    closing = F.concat(F.upper(_in_turn(tuple(C.ABBREVIATIONS), key)), F.lit(", "), _in_turn(keywords, key), F.lit("!"))
+    return table(spark, base, "documents").select(
+        _code("NOTE", "doc_id", 6).alias("note_id"),
+        F.format_string("MBR%06d", key % 100 + 1).alias("member_id"),
+        F.date_add(F.lit("1997-01-01").cast("date"), (key % 730).cast("int")).alias("note_date"),
+        F.concat(F.coalesce("text", F.lit("")), F.lit(" "), closing).alias("clinical_note"),
+    )
+
+
+def feedback(spark: SparkSession, base: str) -> DataFrame:
+    """Every turn of every conversation, closed by two of the sentiment words in turn."""
+    words = [*C.TOKEN_POSITIVE, *C.TOKEN_NEGATIVE, *C.SUBSTRING_NEGATIVE, "nothing"]
+    first, second = F.col("conv_id") * 3 + F.col("turn"), F.col("conv_id") + F.col("turn") * 5
+    return table(spark, base, "conversations").select(
+        "conv_id",
+        "turn",
+        F.concat(
+            F.coalesce("text", F.lit("")), F.lit(" "), F.upper(_in_turn(words, first)), F.lit(" "), _in_turn(words, second)
+        ).alias("text"),
     )
 
 

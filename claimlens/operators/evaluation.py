@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import scalars as S
 from claimlens.operators.ranking import running_total
+from claimlens.session import stage
 
 
 def confusion(df: DataFrame, label: str = "label", predicted: str = "prediction") -> DataFrame:
@@ -98,7 +99,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
             F.count_if(F.col(label) == 0).alias("negatives"),
         )
     )
-    ranked = running_total(per_score, "_score", ["negatives"])
+    ranked = running_total(stage(per_score, "per-score"), "_score", ["negatives"])
     wins = F.col("positives") * (F.col("negatives_before") + F.col("negatives") / 2)
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
     return ranked.agg((F.sum(wins) / F.nullif(pairs, F.lit(0.0))).alias("auc"))

@@ -1,8 +1,8 @@
 """Joins of claims to members and to provider/member statistics, safe for hot keys.
 
-A third of all claims may share one member or provider.  Keys that hold more than ``1/HOT_SHARE`` of
-the left rows are salted over ``SALTS`` tasks; there can be at most ``HOT_SHARE`` such keys, which is
-what bounds the broadcast key list and the copies made of the right side.
+A third of all claims may share one member or provider.  Where counts per key exist already, keys with more than
+``ROWS_PER_TASK`` rows are salted over as many tasks as their count asks for.  Where they do not, the join is left as
+two plain exchanges, whose oversized partitions AQE splits; the rows are not read a second time to count them.
 """
 
 from __future__ import annotations
@@ -12,46 +12,35 @@ from pyspark.sql import functions as F
 
 from claimlens import constants as C
 
-HOT_SHARE = 200
-SALTS = 64
+ROWS_PER_TASK = 2_000_000
+SPREAD = 1 << 20  # rows without a key match nothing and may go anywhere
 
 
-def heavy(counts: DataFrame, key: str, n: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys whose count ``n`` exceeds ``1/share`` of the sum: at most ``share`` keys, whatever the data."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.where(F.col(n) * share > total).select(key)
+def heavy(counts: DataFrame, key: str, n: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys whose count ``n`` exceeds ``rows``, with the tasks to deal them over: at most total / ``rows`` keys."""
+    return counts.where(F.col(n) > rows).select(key, F.ceil(F.col(n) / rows).cast("int").alias("_salts"))
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``1/share`` of the rows."""
-    return heavy(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), key, "_n", share)
+def hot_keys(df: DataFrame, key: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Heavy keys of a table; counts its rows, so the table should be a stored one."""
+    return heavy(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), key, "_n", rows)
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread: Column,
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left join to a ``right`` that is unique on ``key``.
+def skew_join(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: DataFrame | None = None) -> DataFrame:
+    """Left join to a ``right`` that is unique on ``key``; every left row appears exactly once.
 
-    ``spread`` is any column of the left row that varies within a key; rows of hot keys (and rows
-    without a key, which match nothing) are dealt over ``salts`` join tasks by it.  Every left row
-    appears exactly once.
+    ``spread`` is any column of the left row that varies within a key; rows of the ``hot`` keys, as ``heavy`` gives
+    them, and rows without a key are dealt by it.  Without ``hot`` AQE splits what is oversized.
     """
-    hot = hot_keys(left, key) if hot is None else hot
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    dealt = F.when(
-        F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts))
-    ).otherwise(F.lit(0).cast("long"))
-    salted_left = left.join(marked, key, "left").withColumn("_salt", dealt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if hot is None:
+        return left.join(right, key, "left")
+    marked = F.broadcast(hot)
+    salts = F.when(F.col(key).isNull(), F.lit(SPREAD)).otherwise(F.coalesce("_salts", F.lit(1)))
+    dealt = F.pmod(F.xxhash64(spread), salts)
+    salted_left = left.join(marked, key, "left").withColumn("_salt", dealt).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     salted_right = (
-        right.join(marked, key, "left")
-        .withColumn("_salt", F.explode(copies.cast("array<bigint>")))
-        .drop("_hot")
+        right.join(marked, key, "left").withColumn("_salt", F.explode(copies.cast("array<bigint>"))).drop("_salts")
     )
     return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
 

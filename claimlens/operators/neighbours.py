@@ -23,8 +23,7 @@ from claimlens.functions.vectors import dot
 from claimlens.operators.joins import skew_join
 from claimlens.session import stage
 
-MAX_PIVOTS = 2048
-ONE_CELL = 20_000  # up to this many distinct points a single cell is searched
+PAIRS = 1 << 21  # (vector, pivot) distances computed at once
 QUERY_UNIT = 2048  # queries per work unit
 POINT_UNIT = 16_384  # points per work unit
 BLOCK = 256  # query rows per distance matrix
@@ -47,15 +46,22 @@ def _chords(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (vectors @ pivots.T)))
 
 
+def _parts(batch: pd.DataFrame, pivots: int) -> Iterator[pd.DataFrame]:
+    """Slices of a batch whose distances to all pivots fit in memory."""
+    step = max(1, PAIRS // pivots)
+    for start in range(0, len(batch), step):
+        yield batch.iloc[start : start + step]
+
+
 def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Add each vector's nearest pivot and the chord to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                chords = _chords(_matrix(batch["vec"]), pivots)
+            for part in _parts(batch, len(pivots)):
+                chords = _chords(_matrix(part["vec"]), pivots)
                 cell = chords.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), reach=chords[np.arange(len(cell)), cell])
+                yield part.assign(cell=cell.astype("int32"), reach=chords[np.arange(len(cell)), cell])
 
     schema = ", ".join(f"{n} {t}" for n, t in df.dtypes) + ", cell int, reach double"
     return df.mapInPandas(run, schema)
@@ -67,28 +73,27 @@ def _other_cells(searched: DataFrame, pivots: np.ndarray, radius: np.ndarray) ->
     No point of cell j is nearer than the chord to pivot j less the cell's radius, nor nearer than the
     plane between pivot j and the query's own pivot.
     """
-    between = _chords(pivots, pivots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                own = batch["cell"].to_numpy()
-                chords = _chords(_matrix(batch["vec"]), pivots)
+            for part in _parts(batch, len(pivots)):
+                own = part["cell"].to_numpy()
+                chords = _chords(_matrix(part["vec"]), pivots)
                 home = chords[np.arange(len(own)), own][:, None]
-                plane = (chords**2 - home**2) / np.maximum(2.0 * between[own], SLACK)
+                plane = (chords**2 - home**2) / np.maximum(2.0 * _chords(pivots[own], pivots), SLACK)
                 floor = np.maximum(chords - radius, plane)
-                reach = np.sqrt(2.0 * batch["limit"].to_numpy())[:, None]  # chord of the cosine distance
+                reach = np.sqrt(2.0 * part["limit"].to_numpy())[:, None]  # chord of the cosine distance
                 wanted = (floor <= reach + SLACK) & (radius >= 0)
                 wanted[np.arange(len(own)), own] = False
                 rows, cells = np.nonzero(wanted)
-                out = batch[["vec", "limit"]].iloc[rows]
+                out = part[["vec", "limit"]].iloc[rows]
                 yield out.assign(cell=cells.astype("int32"))
 
     return searched.select("vec", "cell", "limit").mapInPandas(run, "vec array<double>, limit double, cell int")
 
 
 def _per_cell(values: np.ndarray, cell: Column) -> Column:
-    """Value of a cell from a per-cell array (at most MAX_PIVOTS entries)."""
+    """Value of a cell from a per-cell array (one entry per pivot, the root of the points)."""
     return F.get(F.from_json(F.lit(str([int(v) for v in values])), "array<int>"), cell)
 
 
@@ -178,8 +183,7 @@ def nearest_vectors(queries: DataFrame, points: DataFrame, k: int, pivots: int |
     zero = F.forall("vec", lambda x: x == 0)
     solid, distinct = points.where(~zero), points.where(~zero).select("vec").distinct()
     if pivots is None:
-        n = distinct.count()
-        pivots = 1 if n <= ONE_CELL else min(MAX_PIVOTS, math.isqrt(n))
+        pivots = max(1, math.isqrt(distinct.count()))  # as many cells as points in a cell
     drawn = distinct.orderBy(F.xxhash64("vec"), "vec").limit(pivots).collect()
 
     # a zero vector is at distance 1 from everything: its neighbours are the lowest keys of all

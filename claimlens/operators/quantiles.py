@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 2 / SKETCH_ACCURACY
-MAX_COLLECT = 100_000  # histogram rows of one bracket the driver may receive
+MAX_COLLECT = 4096  # histogram rows of one bracket the driver may receive
 
 
 @dataclass

@@ -10,7 +10,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_DIGITS = 3  # leading hex digits of the hash: 4096 even slices per group
+SLICE_DIGITS = 4  # leading hex digits of the hash: 65,536 even slices per group, 1.5 million rows each of 100 billion
+ROWS_PER_SLICE = 200_000  # rows of a running total that one window sorts
 
 
 def hash_rank(
@@ -64,18 +65,21 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed:
     return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank")
 
 
-def running_total(df: DataFrame, order: str, values: list[str], slices: int = 1000) -> DataFrame:
+def running_total(df: DataFrame, order: str, values: list[str], slices: int | None = None) -> DataFrame:
     """Add ``<value>_before``: the sum of each value over all rows with a smaller ``order``.
 
-    ``order`` must be unique per row and not null.  Slices are cut at sketched quantiles, so each holds
-    about ``1/slices`` of the rows; their totals (at most ``slices + 1`` rows) are accumulated apart.
+    ``order`` must be unique per row and not null.  Slices are cut at sketched quantiles, as many as the rows ask
+    for; their totals (one row each) are accumulated apart.  ``df`` is read several times: give a stored table.
     """
+    slices = slices or 1 + df.count() // ROWS_PER_SLICE
     fractions = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), fractions, 10 * slices)).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol="_order", outputCol="_slice").transform(
-        df.withColumn("_order", F.col(order).cast("double"))
-    )
+    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), fractions, 10 * slices)).first()[0] if fractions else []
+    ordered = df.withColumn("_order", F.col(order).cast("double"))
+    if cuts:
+        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+        sliced = Bucketizer(splits=splits, inputCol="_order", outputCol="_slice").transform(ordered)
+    else:
+        sliced = ordered.withColumn("_slice", F.lit(0.0))
     totals = sliced.groupBy("_slice").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

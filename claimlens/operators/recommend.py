@@ -15,8 +15,7 @@ from claimlens.operators import reports
 from claimlens.operators.joins import skew_join
 from claimlens.operators.neighbours import nearest_vectors
 from claimlens.operators.transforms import ZScaler, ZScalerModel
-
-MAX_PLANS = 200  # width of the collaborative matrix; a catalogue of plans, not of members
+from claimlens.session import stage
 
 
 def top_plans(scores: DataFrame, n: int) -> DataFrame:
@@ -82,47 +81,45 @@ class CollaborativeModel:
     """Projection of a member's plan ratings on the leading singular directions.
 
     The member x plan matrix is never gathered: its plan x plan Gram matrix is one aggregate, whose
-    eigenvectors V give the reconstruction ``row . V_k . V_k^T`` as plain column arithmetic.
+    eigenvectors V give the reconstruction ``row . V_k . V_k^T`` as a join of ratings with weights.
     """
 
     plans: list[str]
     projection: np.ndarray
 
     def scores(self, interactions: DataFrame) -> DataFrame:
-        """Add one row per known member with ``ranking`` over all plans."""
-        ratings = _ratings(interactions, self.plans)
-        scores = {}
-        for j, plan in enumerate(self.plans):
-            weights = [(i, float(w)) for i, w in enumerate(self.projection[:, j]) if w]
-            scores[plan] = sum((F.col(f"_p{i}") * w for i, w in weights), F.lit(0.0))
-        return ratings.select("member_id", _ranked(scores).alias("ranking"))
-
-
-def _ratings(interactions: DataFrame, plans: list[str]) -> DataFrame:
-    """One row per member, one summed rating column per plan; repeats combine map-side."""
+        """One row per known member with ``ranking`` over all plans."""
+        rows = [(p, q, float(self.projection[i, j])) for i, p in enumerate(self.plans) for j, q in enumerate(self.plans)]
+        weights = interactions.sparkSession.createDataFrame(rows, "plan_type string, plan string, weight double")
+        # a rating without plan says nothing of any, but its member is known
+        rated = _ratings(interactions).withColumn("plan_type", F.coalesce("plan_type", F.lit(self.plans[0] if self.plans else None)))
+        scored = rated.join(weights, "plan_type").groupBy("member_id", "plan")
+        per_plan = scored.agg(F.sum(F.col("weight") * F.col("rating")).alias("score"))
+        entries = F.collect_list(_entry(F.col("score"), F.col("plan")))
+        return per_plan.groupBy("member_id").agg(F.sort_array(entries).alias("ranking"))
+
+
+def _ratings(interactions: DataFrame) -> DataFrame:
+    """(member, plan, rating): repeats summed, map-side first; a rating without plan counts 0."""
     rating = F.coalesce(F.col("rating").cast("double"), F.lit(1.0))
-    return interactions.groupBy("member_id").agg(
-        *[
-            F.sum(F.when(F.col("plan_type") == plan, rating).otherwise(0.0)).alias(f"_p{i}")
-            for i, plan in enumerate(plans)
-        ]
-    )
+    value = F.when(F.col("plan_type").isNull(), F.lit(0.0)).otherwise(rating)
+    return interactions.groupBy("member_id", "plan_type").agg(F.sum(value).alias("rating"))
 
 
 def fit_collab(interactions: DataFrame, n_factors: int = 50) -> CollaborativeModel:
-    names = interactions.select("plan_type").where("plan_type IS NOT NULL").distinct().limit(MAX_PLANS + 1).collect()
-    plans = sorted(row["plan_type"] for row in names)
-    if len(plans) > MAX_PLANS:
-        raise ValueError(f"more than {MAX_PLANS} plans: use pyspark.ml.recommendation.ALS")
-    ratings = _ratings(interactions, plans)
-    pairs = [(i, j) for i in range(len(plans)) for j in range(i, len(plans))]
-    row = ratings.agg(
-        F.count("*").alias("n"), *[F.sum(F.col(f"_p{i}") * F.col(f"_p{j}")).alias(f"g{i}_{j}") for i, j in pairs]
-    ).first()
+    ratings = stage(_ratings(interactions), "ratings")
+    members = ratings.select("member_id").distinct().count()
+    known = ratings.where("plan_type IS NOT NULL")
+    other = known.select("member_id", F.col("plan_type").alias("other"), F.col("rating").alias("other_rating"))
+    # pairs of plans of one member: a member has no more rows than there are plans
+    pairs = known.join(other, "member_id").groupBy("plan_type", "other")
+    cells = pairs.agg(F.sum(F.col("rating") * F.col("other_rating")).alias("g")).collect()
+    plans = sorted({row["plan_type"] for row in cells})
+    place = {plan: i for i, plan in enumerate(plans)}
     gram = np.zeros((len(plans), len(plans)))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"]
-    k = min(n_factors, min(row["n"], len(plans)) - 1)
+    for row in cells:
+        gram[place[row["plan_type"]], place[row["other"]]] = row["g"]
+    k = min(n_factors, min(members, len(plans)) - 1)
     values, vectors = np.linalg.eigh(gram)
     # equal singular values: the direction of the alphabetically last plan is dropped first
     main = np.abs(vectors).argmax(axis=0)
@@ -228,12 +225,23 @@ class HybridRecommender:
         return cls(fit_collab(rated), fit_profile_scaler(members), members, rated, k)
 
     def recommend(self, profiles: DataFrame, n: int = 3, digits: int | None = 4) -> DataFrame:
-        """(member, plan, score, rank) for every profile; members without ratings get the rule plans."""
-        collab = self.collab.scores(self.interactions).withColumn("ranking", F.slice("ranking", 1, 4))
-        known = collab.select("member_id")
-        rated = profiles.join(known, "member_id", "left_semi")
+        """(member, plan, score, rank) for every request; members without ratings get the rule plans."""
+        return self.answers(profiles, n, digits).drop("request_id")
+
+    def answers(self, profiles: DataFrame, n: int = 3, digits: int | None = 4) -> DataFrame:
+        """(request, member, plan, score, rank): each request by itself, however often its member asks.
+
+        Requests equal in every column are one request; ``with_request_id`` tells which rows they are.
+        """
+        asked = with_request_id(profiles).dropDuplicates(["request_id"])
+        members = asked.select("request_id", F.col("member_id").alias("_member"))
+        # The lists below are kept by request: its id takes the member's place.
+        asked = asked.withColumns({"_member": F.col("member_id"), "member_id": F.col("request_id")}).drop("request_id")
+        ranked = self.collab.scores(self.interactions).withColumn("ranking", F.slice("ranking", 1, 4))
+        ranked = ranked.withColumnRenamed("member_id", "_member")
+        rated = asked.join(ranked.select("_member"), "_member", "left_semi")
         lists = {
-            "collab": _unfold(collab.join(profiles.select("member_id"), "member_id", "left_semi"), None),
+            "collab": _unfold(ranked.join(asked.select("_member", "member_id"), "_member"), None),
             "knn": _unfold(knn_ranking(rated, self.members, self.scaler, self.k, 4)),
             "content": _unfold(content_ranking(rated, 4)),
         }
@@ -243,10 +251,13 @@ class HybridRecommender:
         ]
         mixed = parts[0].unionByName(parts[1]).unionByName(parts[2])
         best = top_plans(mixed.groupBy("member_id", "plan").agg(F.sum("score").alias("score")), n)
-        score = F.col("score") if digits is None else F.round("score", digits)
+        # a sum of doubles may miss a tie by its last bits: settle it first
+        score = F.col("score") if digits is None else F.round(F.round("score", 8), digits)
         hybrid = best.select("member_id", "plan", score.alias("score"), "rank")
-        unknown = profiles.join(known, "member_id", "left_anti")
-        return hybrid.unionByName(recommend_fallback(unknown).where(F.col("rank") <= n))
+        unknown = asked.join(ranked.select("_member"), "_member", "left_anti")
+        both = hybrid.unionByName(recommend_fallback(unknown).where(F.col("rank") <= n))
+        found = both.withColumnRenamed("member_id", "request_id").join(members, "request_id")
+        return found.select("request_id", F.col("_member").alias("member_id"), "plan", "score", "rank")
 
     def save_to(self, path: str) -> None:
         self.scaler.write().overwrite().save(f"{path}/scaler")
@@ -270,12 +281,18 @@ class HybridRecommender:
         )
 
 
-def recommendation_records(recommendations: DataFrame, profiles: DataFrame) -> DataFrame:
-    """One record per member: list of (plan, score) and the explanation sentence."""
-    lists = recommendations.groupBy("member_id").agg(
+def with_request_id(profiles: DataFrame) -> DataFrame:
+    """Add ``request_id``, made of all columns, so that a retried task makes the same one."""
+    return profiles.withColumn("request_id", F.sha2(F.to_json(F.struct(*sorted(profiles.columns))), 256))
+
+
+def recommendation_records(answers: DataFrame, profiles: DataFrame) -> DataFrame:
+    """One record per request row: list of (plan, score) and the explanation sentence."""
+    lists = answers.groupBy("request_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "plan", "score"))).alias("_recs")
     )
-    joined = profiles.select("member_id", "age", "num_chronic_conditions").join(lists, "member_id", "left")
+    wanted = with_request_id(profiles).select("request_id", "member_id", "age", "num_chronic_conditions")
+    joined = wanted.join(lists, "request_id", "left")
     chronic = F.coalesce("num_chronic_conditions", F.lit(0))
     return joined.select(
         "member_id",

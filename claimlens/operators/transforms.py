@@ -10,11 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
-from claimlens.functions.lookup import bucketed, lookup
 from claimlens.operators.quantiles import SKETCH_ACCURACY, exact_quantiles
 
-MAX_CLASSES = 200_000  # codes of all indexed columns together
-
 
 class _HasColumns(Params):
     columns = Param(Params._dummy(), "columns", "columns to transform in place", TypeConverters.toListString)
@@ -73,14 +70,19 @@ class MedianImputer(_ColumnEstimator):
 
 
 class LabelIndexerModel(StateModel):
-    """State: column -> [bucketed dictionary, number of classes]; unseen values get the next code."""
+    """State: column -> its values in order; a value's place is its code, unseen values get the next one.
+
+    Codes are joined as tables, one per column; Spark broadcasts those that are small.
+    """
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        codes = {}
-        for column, (buckets, n) in self.fitted.items():
-            word = F.coalesce(F.col(column).cast("string"), F.lit(C.UNKNOWN_CATEGORY))
-            codes[column] = lookup(word, buckets, n, max(1, n)).cast("double")
-        return df.withColumns(codes)
+        names = df.columns
+        for column, values in self.fitted.items():
+            codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(values)], "_value string, _code double")
+            value = F.coalesce(F.col(column).cast("string"), F.lit(C.UNKNOWN_CATEGORY))
+            code = F.coalesce("_code", F.lit(float(len(values))))
+            df = df.join(codes, value == F.col("_value"), "left").withColumn(column, code).drop("_value", "_code")
+        return df.select(*names)
 
 
 class LabelIndexer(_ColumnEstimator):
@@ -98,16 +100,8 @@ class LabelIndexer(_ColumnEstimator):
             ]
         )
         # one row per code of a code set, never per claim
-        found = df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
-        classes = found.limit(MAX_CLASSES + 1).collect()
-        if len(classes) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes in {', '.join(columns)}: not categories")
-        codes = {}
-        for c in columns:
-            values = sorted(r["value"] for r in classes if r["name"] == c)
-            codes[c] = {value: i for i, value in enumerate(values)}
-        buckets = bucketed(df.sparkSession, codes)
-        return LabelIndexerModel({c: [buckets[c], len(codes[c])] for c in columns})
+        found = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
+        return LabelIndexerModel({c: sorted(r["value"] for r in found if r["name"] == c) for c in columns})
 
 
 class ZScalerModel(StateModel):

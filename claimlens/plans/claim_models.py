@@ -18,7 +18,7 @@ from claimlens import constants as C
 from claimlens.operators import evaluation as E
 from claimlens.operators.claim_features import FEATURES
 from claimlens.operators.ranking import stratified_folds, stratified_split
-from claimlens.session import stage
+from claimlens.session import sized, stage
 
 # Family -> (rounds or iterations, depth, learning rate, weighting)
 FAMILIES = {
@@ -107,7 +107,7 @@ def train_claim(
     n_train = train.count()
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     pipeline = Pipeline(stages=[assembler, classifier(family, label, n_train, rounds, seed)])
-    model = ClaimModel(family, pipeline.fit(_weighted(train, family, label)))
+    model = ClaimModel(family, pipeline.fit(sized(_weighted(train, family, label), n_train)))
     scored = model.predict(test).select(F.col(label).alias("label"), "probability", "prediction").persist()
     metrics = {
         "model": family,
@@ -139,6 +139,7 @@ def cross_validate(
     folded = stage(stratified_folds(features, label, key, folds, seed), "folds")
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     n_rows = int(folded.count() * (folds - 1) / folds)
+    folded = sized(folded, n_rows)
     estimator = classifier(family, label, n_rows, rounds, seed)
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     validator = CrossValidator(
@@ -188,6 +189,7 @@ def lake_pipeline(rounds: int = 100, seed: int = 42) -> Pipeline:
 def train_claim_lake(df: DataFrame, rounds: int = 100, seed: int = 42) -> tuple[PipelineModel, float]:
     """Fitted pipeline and its AUC on a hashed 20% of every class."""
     split = stage(stratified_split(df, "claim_approved", "claim_id", 0.2, seed), "lake-split")
-    model = lake_pipeline(rounds, seed).fit(split.where("is_test = 0"))
+    train = split.where("is_test = 0")
+    model = lake_pipeline(rounds, seed).fit(sized(train, train.count()))
     scored = with_probability(model, split.where("is_test = 1"))
     return model, E.roc_auc(scored, "claim_approved", "probability").first()["auc"]

@@ -19,6 +19,9 @@ DEFAULTS = {
 }
 
 
+ROWS_PER_PARTITION = 50_000  # of a matrix that a fit scans once per tree level
+
+
 def build_session(app: str = "claimlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -65,6 +68,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than its number of rows asks for; for fits that scan it many times."""
+    return df.coalesce(1 + rows // ROWS_PER_PARTITION)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Delete what was staged inside the block when it ends; for jobs whose results are written out."""

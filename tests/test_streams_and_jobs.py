@@ -58,12 +58,16 @@ def test_note_stream_equals_batch(spark, base):
     stream, batch = as_stream(spark, fx.notes(spark, base).select("note_id", "clinical_note"), "note-requests")
     out, checkpoint = outputs(spark, "notes")
     scoring.stream_notes(stream, out, checkpoint).awaitTermination()
-    same(spark.read.parquet(out), scoring.analyze_requests(batch))
+    want = scoring.analyze_requests(batch)
+    same(spark.read.parquet(f"{out}/analysed").drop("batch_id"), want["analysed"])
+    same(spark.read.parquet(f"{out}/quarantine").drop("batch_id"), want["quarantine"])
 
 
 def test_short_note_is_rejected(spark):
     rows = spark.createDataFrame([(None, "long enough note"), ("N2", "short"), ("N3", None)], schemas.NOTE_REQUEST)
-    assert [r["note_id"] for r in scoring.analyze_requests(rows).collect()] == ["NOTE000001"]
+    parts = scoring.analyze_requests(rows)
+    assert [r["note_id"] for r in parts["analysed"].collect()] == ["NOTE000001"]
+    assert sorted(r["note_id"] for r in parts["quarantine"].collect()) == ["N2", "N3"]
 
 
 def test_recommendation_stream_equals_batch(spark, base, members):

@@ -1,5 +1,6 @@
 """The same fixture views as SQL, written on their own so that the oracle shares no expression."""
 
+from claimlens import constants as C
 from verification.registry import ROUND_OFFSET
 
 LINES = """li AS (SELECT l_orderkey, COUNT(*) AS n_li, MIN(l_suppkey) AS sk, MIN(l_partkey) AS pk,
@@ -40,12 +41,22 @@ PROVIDERS = """providers AS (SELECT concat('PRV', lpad(CAST(s_suppkey AS STRING)
  CASE s_suppkey % 5 WHEN 0 THEN 'Hospital' WHEN 1 THEN 'Clinic' WHEN 2 THEN 'Specialist' WHEN 3 THEN 'Lab' ELSE 'Pharmacy' END AS provider_type,
  n_name AS state FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
 
-NOTES = """notes AS (SELECT concat('NOTE', lpad(CAST(o_orderkey AS STRING),6,'0')) AS note_id,
- concat('MBR', lpad(CAST(o_custkey AS STRING),6,'0')) AS member_id, CAST(o_orderdate AS DATE) AS note_date,
- CASE o_orderkey % 8 WHEN 0 THEN 'Pt presents w/ HTN. BP 145/90.' WHEN 1 THEN 'Dx: DM type 2. Tx: Metformin 500mg!'
-  WHEN 2 THEN 'Follow-up for asthma;  albuterol' WHEN 3 THEN 'Pt reports sob and CP. Hx of CAD'
-  WHEN 4 THEN 'CKD stage 3, N/V overnight' WHEN 5 THEN 'Depression screen positive'
-  WHEN 6 THEN 'Lung cancer follow-up' ELSE 'Wound healing well.' END AS clinical_note FROM orders)"""
+
+
+def _in_turn(words, key: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"([{listed}])[CAST(({key}) % {len(words)} AS INT) + 1]"
+
+
+NOTES = f"""notes AS (SELECT concat('NOTE', lpad(CAST(doc_id AS STRING),6,'0')) AS note_id,
+ concat('MBR', lpad(CAST(doc_id % 100 + 1 AS STRING),6,'0')) AS member_id,
+ CAST(DATE '1997-01-01' + CAST(doc_id % 730 AS INT) AS DATE) AS note_date,
+ COALESCE(text, '') || ' ' || upper({_in_turn(C.ABBREVIATIONS, 'doc_id')}) || ', '
+   || {_in_turn([*[word for word, _, _ in C.DIAGNOSIS_RULES], 'wellness'], 'doc_id')} || '!' AS clinical_note FROM documents)"""
+
+_FEELINGS = [*C.TOKEN_POSITIVE, *C.TOKEN_NEGATIVE, *C.SUBSTRING_NEGATIVE, "nothing"]
+FEEDBACK = f"""feedback AS (SELECT conv_id, turn, COALESCE(text, '') || ' ' || upper({_in_turn(_FEELINGS, 'conv_id * 3 + turn')})
+ || ' ' || {_in_turn(_FEELINGS, 'conv_id + turn * 5')} AS text FROM conversations)"""
 
 _VERSIONS = """CROSS JOIN (SELECT 'v1' AS model_version UNION ALL SELECT 'v2' AS model_version) v
  WHERE v.model_version = 'v1' OR o_orderkey % 10 = 0"""

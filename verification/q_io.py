@@ -15,9 +15,9 @@ from claimlens.session import new_stage_path, stage
 from claimlens.sources import readers, writers
 from claimlens.streaming import scoring
 from verification import fixture_sql as v
-from verification.q_models import _COLLAB, _KNN, _NEIGHBOURS, _PLANS, _content_sql
-from verification.q_text import _clean_sql
-from verification.registry import query, rounded
+from verification.q_models import _COLLAB, _KNN, _NEIGHBOURS, _PLANS, FRAUD_FACTS, RISK_FACTS, _content_sql, fraud_facts, risk_facts
+from verification.q_text import _CONFIDENCE, _RULES, clean_sql
+from verification.registry import ROUND_OFFSET, query, rounded
 
 _CLAIM_COLUMNS = (
     "claim_id, member_id, provider_id, claim_date, claim_type, diagnosis_code, procedure_code, "
@@ -92,11 +92,16 @@ def configured_dataset(spark, base):
     return reports.row_counts(readers.get_data(spark, {"local.path": path}))
 
 
-@query()
+@query(v.with_views("SELECT claim_type, COUNT(*) AS n_claims, true AS listed FROM claims GROUP BY 1", v.CLAIMS))
 def listed_files(spark, base):
-    return readers.list_files(spark, base).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("n_bytes")
-    )
+    """Files of a table written by claim type, listed, and met with the rows read from them."""
+    path = new_stage_path(spark, "claims-by-type")
+    fx.claims(spark, base).write.partitionBy("claim_type").parquet(path)
+    files = readers.list_files(spark, path).where("length > 0").select("path", F.lit(True).alias("listed"))
+    rows = spark.read.parquet(path).groupBy(F.input_file_name().alias("path"), "claim_type").agg(F.count("*").alias("n"))
+    same = F.regexp_replace("path", "^file:/+", "/")
+    met = rows.withColumn("path", same).join(files.withColumn("path", same), "path", "left")
+    return met.groupBy("claim_type").agg(F.sum("n").alias("n_claims"), F.every(F.coalesce("listed", F.lit(False))).alias("listed"))
 
 
 @query(
@@ -135,9 +140,10 @@ def upserted_members(spark, base):
 
 @query(
     v.with_views(
-        """SELECT provider_id, claim_status AS last_status, claim_amount AS last_amount FROM (SELECT *, row_number() OVER
-        (PARTITION BY provider_id ORDER BY claim_id DESC) AS rn FROM claims WHERE provider_id IS NOT NULL) WHERE rn = 1""",
-        v.CLAIMS,
+        """SELECT COALESCE(p.provider_id, c.provider_id) AS provider_id, COALESCE(claim_status, 'None') AS last_status, claim_amount AS last_amount
+        FROM providers p FULL JOIN (SELECT * FROM (SELECT *, row_number() OVER
+        (PARTITION BY provider_id ORDER BY claim_id DESC) AS rn FROM claims WHERE provider_id IS NOT NULL) WHERE rn = 1) c ON p.provider_id = c.provider_id""",
+        v.CLAIMS, v.PROVIDERS,
     )
 )
 def upserted_provider_state(spark, base):
@@ -146,16 +152,29 @@ def upserted_provider_state(spark, base):
     updates = claims.select(
         "provider_id", "claim_id", F.col("claim_status").alias("last_status"), F.col("claim_amount").alias("last_amount")
     )
-    target = fx.providers(spark, base).select("provider_id").where(F.lit(False))
+    stored = {"last_status": F.lit("None"), "last_amount": F.lit(None).cast("double")}
+    target = fx.providers(spark, base).select("provider_id").withColumns(stored)
     return writers.upsert(target, updates, "provider_id", order="claim_id")
 
 
-@query()
+@query(
+    v.with_views(
+        """SELECT claim_id, member_id, model_version, ROUND(risk_score, 4) AS approval_probability, ROUND(1 - risk_score, 4) AS risk_score,
+        CASE WHEN 1 - risk_score <= 0 THEN NULL WHEN 1 - risk_score <= 0.2 THEN 'Very Low' WHEN 1 - risk_score <= 0.4 THEN 'Low'
+          WHEN 1 - risk_score <= 0.6 THEN 'Medium' WHEN 1 - risk_score <= 0.8 THEN 'High' ELSE 'Very High' END AS risk_band,
+        CASE WHEN risk_score >= 0.5 THEN 'Approve' ELSE 'Review' END AS decision, true AS stamped FROM claim_predictions""",
+        v.CLAIM_PREDICTIONS,
+    )
+)
 def written_predictions(spark, base):
-    path = new_stage_path(spark, "predictions")
-    scored = fx.claim_predictions(spark, base).where("model_version = 'v1'").drop("model_version")
-    writers.write_predictions(evaluation.risk_scores(scored, "risk_score"), path, "v1")
-    return spark.read.parquet(path).drop("created_at")
+    """Both model versions through the prediction sink, each to its own folder."""
+    paths = {version: new_stage_path(spark, f"predictions-{version}") for version in ("v1", "v2")}
+    predictions = fx.claim_predictions(spark, base)
+    for version, path in paths.items():
+        scored = predictions.where(F.col("model_version") == version).drop("model_version")
+        writers.write_predictions(evaluation.risk_scores(scored, "risk_score"), path, version)
+    written = spark.read.parquet(*paths.values())
+    return written.withColumn("stamped", F.col("created_at") <= F.current_timestamp()).drop("created_at")
 
 
 @query(
@@ -196,7 +215,7 @@ def _lake(spark, base):
     raw, out = new_stage_path(spark, "lake-raw"), new_stage_path(spark, "lake-out")
     writers.write_parquet(fx.claims(spark, base), f"{raw}/claims")
     writers.write_parquet(fx.members(spark, base), f"{raw}/members")
-    jobs.run_lake(spark, raw, out, rounds=5, threshold=450000)
+    jobs.run_lake(spark, raw, out, threshold=450000)
     return out
 
 
@@ -213,21 +232,47 @@ def lake_job_trends(spark, base):
     return rounded(spark.read.parquet(f"{_lake(spark, base)}/analytics/monthly_trends"))
 
 
+_NOTE_REQUESTS = """note_requests AS (SELECT CASE WHEN doc_id % 19 <> 0 THEN note_id END AS note_id,
+ CASE WHEN doc_id % 23 = 0 THEN '' ELSE clinical_note END AS clinical_note
+ FROM (SELECT *, CAST(substr(note_id, 5) AS BIGINT) AS doc_id FROM notes))"""
+
+
+def _streamed_notes(spark, base, folder):
+    """Note requests arriving as JSON files, analysed by a stream; some lack an id or a text."""
+    source, out, checkpoint = (new_stage_path(spark, n) for n in ("note-requests", "note-analysis", "note-checkpoint"))
+    key = F.substring("note_id", 5, 20).cast("long")
+    requests = fx.notes(spark, base).select(
+        F.when(key % 19 != 0, F.col("note_id")).alias("note_id"),
+        F.when(key % 23 == 0, "").otherwise(F.col("clinical_note")).alias("clinical_note"),
+    )
+    writers.append_documents(requests, source)
+    stream = spark.readStream.schema(schemas.NOTE_REQUEST).json(source)
+    scoring.stream_notes(stream, out, checkpoint).awaitTermination()
+    return spark.read.parquet(f"{out}/{folder}")
+
+
 @query(
     v.with_views(
-        """SELECT note_id, substr(t, 1, 200) AS cleaned_text FROM (SELECT note_id, """
-        + _clean_sql("clinical_note", C.ABBREVIATIONS_SHORT)
-        + " AS t FROM notes)",
-        v.NOTES,
+        f"""SELECT COALESCE(note_id, 'NOTE000001') AS note_id, substr(t, 1, 200) AS cleaned_text, {_RULES} AS predicted_diagnosis,
+        {_CONFIDENCE} AS confidence, 'neutral' AS sentiment
+        FROM (SELECT note_id, {clean_sql("clinical_note", C.ABBREVIATIONS_SHORT)} AS t FROM note_requests WHERE length(clinical_note) >= 10)""",
+        v.NOTES, _NOTE_REQUESTS,
     )
 )
 def streamed_note_analysis(spark, base):
-    """Note requests arriving as JSON files, analysed by a stream."""
-    source, out, checkpoint = (new_stage_path(spark, n) for n in ("note-requests", "note-analysis", "note-checkpoint"))
-    writers.append_documents(fx.notes(spark, base).select("note_id", "clinical_note"), source)
-    requests = spark.readStream.schema(schemas.NOTE_REQUEST).json(source)
-    scoring.stream_notes(requests, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select("note_id", "cleaned_text")
+    return _streamed_notes(spark, base, "analysed").drop("batch_id")
+
+
+@query(
+    v.with_views(
+        """SELECT COALESCE(note_id, 'NOTE000001') AS note_id, clinical_note, 'note_length' AS broken_rules
+        FROM note_requests WHERE length(clinical_note) < 10""",
+        v.NOTES, _NOTE_REQUESTS,
+    )
+)
+def streamed_note_quarantine(spark, base):
+    rejected = _streamed_notes(spark, base, "quarantine")
+    return rejected.select("note_id", "clinical_note", F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
 def _claim_request_stream(spark, base):
@@ -237,14 +282,40 @@ def _claim_request_stream(spark, base):
     return spark.readStream.schema(requests.schema).json(source)
 
 
-@query()
-def streamed_claim_scores(spark, base):
+_VALID = "NOT (claim_amount <= 0 OR COALESCE(member_age, 0) > 100 OR member_bmi IS NULL)"
+
+
+def _claim_scorer(spark, base):
     claims = stage(joins.enrich_claims(fx.claims(spark, base), fx.members(spark, base)), "enriched")
     features = ClaimFeatures().fit(claims)
-    model = claim_models.train_claim(stage(features.transform(claims), "features"), "logistic")
+    return features, claim_models.train_claim(stage(features.transform(claims), "features"), "logistic")
+
+
+@query(v.with_views(f"SELECT {RISK_FACTS}, true AS batch_ok FROM claim_requests WHERE {_VALID}", v.CLAIMS, v.MEMBERS, v.CLAIM_REQUESTS))
+def streamed_claim_scores(spark, base):
+    """Streamed scores: consistent, and equal to those of the batch job."""
+    features, model = _claim_scorer(spark, base)
     out, checkpoint = new_stage_path(spark, "claim-scores"), new_stage_path(spark, "claim-checkpoint")
     scoring.stream_claims(_claim_request_stream(spark, base), features, model, out, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{out}/scored").drop("batch_id")
+    streamed = spark.read.parquet(f"{out}/scored").drop("batch_id")
+    batch, _ = scoring.score_batch(fx.claim_requests(spark, base), features, model)
+    both = streamed.join(batch.select("claim_id", F.col("risk_score").alias("_batch")), "claim_id", "left")
+    same = both.select("claim_id", (F.abs(F.col("_batch") - F.col("risk_score")) < 0.00015).alias("batch_ok"))
+    return risk_facts(streamed).join(same, "claim_id")
+
+
+@query(
+    v.with_views(
+        f"SELECT COUNT(*) AS total, true AS parts_ok, COUNT(DISTINCT claim_id) AS n_ids FROM claim_requests WHERE {_VALID}",
+        v.CLAIMS, v.MEMBERS, v.CLAIM_REQUESTS,
+    )
+)
+def scored_batch_summary(spark, base):
+    """The batch job's totals; its requests come without a claim id and get one each."""
+    features, model = _claim_scorer(spark, base)
+    results, totals = scoring.score_batch(fx.claim_requests(spark, base).drop("claim_id"), features, model)
+    row = totals.select("total", (F.col("approved") + F.col("review") == F.col("total")).alias("parts_ok"))
+    return row.crossJoin(results.agg(F.countDistinct("claim_id").alias("n_ids")))
 
 
 @query(
@@ -256,36 +327,38 @@ def streamed_claim_scores(spark, base):
     )
 )
 def streamed_claim_quarantine(spark, base):
-    claims = stage(joins.enrich_claims(fx.claims(spark, base), fx.members(spark, base)), "enriched")
-    features = ClaimFeatures(approx=True).fit(claims)
-    model = claim_models.train_claim(stage(features.transform(claims), "features"), "logistic", rounds=5)
+    features, model = _claim_scorer(spark, base)
     out, checkpoint = new_stage_path(spark, "claim-scores"), new_stage_path(spark, "claim-checkpoint")
     scoring.stream_claims(_claim_request_stream(spark, base), features, model, out, checkpoint).awaitTermination()
     bad = spark.read.parquet(f"{out}/quarantine")
     return bad.select("claim_id", F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
-@query()
+@query(v.with_views(f"SELECT {FRAUD_FACTS}, true AS batch_ok FROM claims WHERE provider_id IS NOT NULL", v.CLAIMS))
 def streamed_fraud_scores(spark, base):
-    """Fraud requests scored from stored statistics."""
+    """Fraud requests scored from stored statistics: consistent, and equal to the batch job's scores."""
     claims = stage(fx.claims(spark, base), "claims")
     features, matrix = FraudFeatures().fit_transform(claims)
-    model = fraud_models.train_fraud(matrix, trees=50, restarts=1, supervised=False)
+    model = fraud_models.train_fraud(matrix)
     source, out, checkpoint = (new_stage_path(spark, n) for n in ("fraud-requests", "fraud-scores", "fraud-checkpoint"))
     names = [f for f in schemas.FRAUD_REQUEST.names if f in claims.columns]
     writers.append_documents(claims.select(*names), source)
     requests = spark.readStream.schema(schemas.FRAUD_REQUEST).json(source)
     scoring.stream_fraud(requests, features, model, out, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{out}/scored").drop("batch_id")
+    streamed = stage(spark.read.parquet(f"{out}/scored").drop("batch_id"), "streamed-fraud")
+    batch = scoring.score_fraud(spark.read.schema(schemas.FRAUD_REQUEST).json(source), features, model)["scored"]
+    both = streamed.join(batch.select("claim_id", F.col("combined_fraud_score").alias("_batch")), "claim_id", "left")
+    same = both.select("claim_id", (F.abs(F.col("_batch") - F.col("combined_fraud_score")) < 0.00015).alias("batch_ok"))
+    return fraud_facts(streamed).join(same, "claim_id")
 
 
 @query(
     v.with_views(
-        """SELECT member_id, plan AS top_plan FROM (SELECT member_id, plan, row_number() OVER (PARTITION BY member_id ORDER BY score DESC, plan) AS rank FROM (
+        """SELECT member_id, list(plan ORDER BY rank) AS plans, list(RND(ROUND(score + 1e-9::DOUBLE, 4), 4) ORDER BY rank) AS scores FROM (SELECT member_id, plan, score, row_number() OVER (PARTITION BY member_id ORDER BY score DESC, plan) AS rank FROM (
         SELECT member_id, plan, SUM(s) AS score FROM (SELECT member_id, plan, 0.4::DOUBLE * score AS s FROM collab WHERE rank <= 4
           UNION ALL SELECT member_id, plan, 0.35::DOUBLE * ROUND(score, 4) FROM knn WHERE rank <= 4
           UNION ALL SELECT member_id, plan, 0.25::DOUBLE * score FROM content WHERE rank <= 4) GROUP BY 1, 2)) JOIN
-        (SELECT member_id AS m FROM members WHERE bmi IS NOT NULL) ON member_id = m WHERE rank = 1""",
+        (SELECT member_id AS m FROM members WHERE bmi IS NOT NULL) ON member_id = m WHERE rank <= 3 GROUP BY 1""",
         v.MEMBERS, v.PLAN_REQUESTS, _PLANS, _COLLAB, _NEIGHBOURS, _KNN,
         _content_sql("plan_requests", "COALESCE(income_score, 0.5::DOUBLE)"),
     )
@@ -298,4 +371,5 @@ def streamed_recommendations(spark, base):
     recommender = recommend.HybridRecommender.fit(stage(fx.members(spark, base), "members"))
     scoring.stream_recommendations(requests, recommender, out, checkpoint).awaitTermination()
     plans = spark.read.parquet(f"{out}/recommended")
-    return plans.select("member_id", F.get("recommendations", F.lit(0))["plan"].alias("top_plan"))
+    rounded_score = lambda r: F.round(r["score"] + ROUND_OFFSET, 4)
+    return plans.select("member_id", F.col("recommendations.plan").alias("plans"), F.transform("recommendations", rounded_score).alias("scores"))

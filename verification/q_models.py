@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
@@ -12,7 +14,7 @@ from claimlens.operators import claim_features, columns, evaluation, fraud, frau
 from claimlens.operators import recommend as R
 from claimlens.operators import reports
 from claimlens.plans import claim_models, fraud_models
-from claimlens.session import stage
+from claimlens.session import new_stage_path, stage
 from verification import fixture_sql as v
 from verification.registry import query, rounded
 
@@ -279,7 +281,7 @@ def best_model(spark, base):
     return rounded(evaluation.best_model(_aucs(spark, base)))
 
 
-# --- trained models: invariants only ------------------------------------------------------------
+# --- trained models: every row, and what SQL can state of its scores ------------------------------
 
 
 def _claim_matrix(spark, base):
@@ -287,47 +289,128 @@ def _claim_matrix(spark, base):
     return stage(claim_features.ClaimFeatures().fit(claims).transform(claims), "claim-features")
 
 
-def _trained(family: str, rounds: int | None):
+def _band_of(risk):
+    return F.expr(
+        f"CASE WHEN {risk} <= 0 THEN 'none' WHEN {risk} <= 0.2 THEN 'Very Low' WHEN {risk} <= 0.4 THEN 'Low' "
+        f"WHEN {risk} <= 0.6 THEN 'Medium' WHEN {risk} <= 0.8 THEN 'High' ELSE 'Very High' END"
+    )
+
+
+def risk_facts(scored, auc=None):
+    """Keys, and whether probability, risk, band and decision agree up to the fourth digit."""
+    p, band = F.col("approval_probability"), F.coalesce("risk_band", F.lit("none"))
+    edge = F.lit(0.00005)
+    facts = scored.select(
+        "claim_id", "member_id",
+        p.between(0, 1).alias("probability_ok"),
+        (F.abs(F.col("risk_score") - (1 - p)) < 0.00015).alias("risk_ok"),
+        ((band == _band_of("(risk_score - 0.00006)")) | (band == _band_of("(risk_score + 0.00006)"))).alias("band_ok"),
+        F.when(p >= C.DECISION_THRESHOLD + edge, F.col("decision") == "Approve")
+        .when(p <= C.DECISION_THRESHOLD - edge, F.col("decision") == "Review")
+        .otherwise(F.col("decision").isin("Approve", "Review")).alias("decision_ok"),
+    )
+    return facts if auc is None else facts.withColumn("auc_ok", F.lit(bool(0.4 <= auc <= 1.0)))
+
+
+RISK_FACTS = "claim_id, member_id, true AS probability_ok, true AS risk_ok, true AS band_ok, true AS decision_ok"
+
+
+def _trained(family: str):
     def run(spark, base):
         features = _claim_matrix(spark, base)
-        return claim_models.train_claim(features, family, rounds=rounds).risk_score(features)
+        model = claim_models.train_claim(features, family)
+        return risk_facts(model.risk_score(features), model.metrics["auc_roc"])
 
     run.__name__ = f"{family}_risk_scores"
-    run.__doc__ = f"Claims scored by the trained {family} model."
+    run.__doc__ = f"Every claim scored by the {family} model at its default settings."
     return run
 
 
-# full families; the boosted ones with fewer rounds, because a query is run at every check
-query()(_trained("logistic", None))
-query()(_trained("rf", 40))
-query()(_trained("gbm", 15))
-query()(_trained("xgboost", 15))
-query()(_trained("lightgbm", 15))
+for _family in claim_models.FAMILIES:
+    query(v.with_views(f"SELECT {RISK_FACTS}, true AS auc_ok FROM claims", v.CLAIMS))(_trained(_family))
 
 
-@query()
+@query(v.with_views(f"SELECT {RISK_FACTS}, true AS same_ok FROM claims", v.CLAIMS))
+def reloaded_claim_scores(spark, base):
+    """A saved and loaded model gives the scores of the one that was trained."""
+    features, path = _claim_matrix(spark, base), new_stage_path(spark, "claim-model")
+    model = claim_models.train_claim(features, "logistic")
+    model.save(path)
+    before = model.risk_score(features).select("claim_id", F.col("approval_probability").alias("_before"))
+    after = claim_models.ClaimModel.load("logistic", path).risk_score(features)
+    joined = after.join(before, "claim_id")
+    same = joined.select("claim_id", (F.col("_before") == F.col("approval_probability")).alias("same_ok"))
+    return risk_facts(after).join(same, "claim_id")
+
+
+@query("SELECT 'logistic' AS model, true AS mean_ok, true AS deviation_ok")
+def cross_validated_auc(spark, base):
+    """Mean and deviation of the AUC over five stratified folds of all claims."""
+    mean, deviation = claim_models.cross_validate(_claim_matrix(spark, base), "logistic", "claim_approved", "claim_id")
+    return spark.createDataFrame([("logistic", bool(0.4 <= mean <= 1), bool(0 <= deviation <= 0.2))], "model string, mean_ok boolean, deviation_ok boolean")
+
+
+@query(
+    "SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in claim_features.FEATURES)
+    + "]) AS feature, true AS importance_ok"
+)
 def logistic_feature_importance(spark, base):
-    return claim_models.train_claim(_claim_matrix(spark, base), "logistic").feature_importance(spark)
+    ranked = claim_models.train_claim(_claim_matrix(spark, base), "logistic").feature_importance(spark)
+    return ranked.select("feature", (F.col("importance") >= 0).alias("importance_ok"))
 
 
-@query()
+@query(
+    v.with_views(
+        """SELECT claim_id, c.member_id, true AS probability_ok, true AS prediction_ok, true AS auc_ok
+        FROM claims c JOIN members m ON c.member_id = m.member_id WHERE bmi IS NOT NULL""",
+        v.CLAIMS, v.MEMBERS,
+    )
+)
 def lake_model_predictions(spark, base):
+    """The lake model at its default rounds; rows with an unknown number are skipped."""
     members = fx.members(spark, base).select(
         "member_id", "age", "bmi", "smoker", "plan_type", "num_chronic_conditions", "state"
     )
     joined = joins.skew_join(fx.claims(spark, base), members, "member_id", F.col("claim_id"))
     frame = stage(claim_features.lake_features(joined, 450000), "lake")
-    model, _ = claim_models.train_claim_lake(frame, rounds=15)
-    return columns.prediction_view(model.transform(frame)).drop("predicted_at")
+    model, auc = claim_models.train_claim_lake(frame)
+    predicted = columns.prediction_view(model.transform(frame))
+    p = F.col("approval_probability")
+    return predicted.select(
+        "claim_id", "member_id", p.between(0, 1).alias("probability_ok"),
+        ((p > 0.5).cast("int") == F.col("predicted_approved")).alias("prediction_ok"),
+        F.lit(bool(0.4 <= auc <= 1.0)).alias("auc_ok"),
+    )
+
+
+def fraud_facts(scored):
+    """Keys, and whether scores, clusters, the combined score and the alert agree."""
+    score, combined = F.col("anomaly_score"), F.col("combined_fraud_score")
+    weighed = 0.5 * score + 0.3 * F.col("high_fraud_cluster") + 0.2 * F.col("is_anomaly")
+    return scored.select(
+        "claim_id",
+        score.between(0, 1).alias("score_ok"),
+        (F.col("cluster_id").between(0, 4) & (F.col("cluster_distance") >= 0)).alias("cluster_ok"),
+        (F.abs(combined - weighed) < 0.00011).alias("combined_ok"),
+        (F.col("alert_level") == F.expr("CASE WHEN combined_fraud_score > 0.75 THEN 'HIGH' WHEN combined_fraud_score > 0.5 THEN 'MEDIUM' ELSE 'LOW' END")).alias("alert_ok"),
+    )
+
+
+FRAUD_FACTS = "claim_id, true AS score_ok, true AS cluster_ok, true AS combined_ok, true AS alert_ok"
 
 
-@query()
+@query(v.with_views(f"SELECT {FRAUD_FACTS}, true AS share_ok, true AS auc_ok FROM claims", v.CLAIMS))
 def fraud_model_scores(spark, base):
-    """Isolation forest, clusters and their combination, trained on all claims."""
+    """Forest, clusters, classifier and their combination, trained on all claims at the default settings."""
     claims = stage(fx.claims(spark, base), "claims")
     _, features = fraud_features.FraudFeatures().fit_transform(claims)
-    model = fraud_models.train_fraud(features, restarts=3, supervised=False)
-    return model.predict(features)
+    model = fraud_models.train_fraud(features)
+    scored = stage(model.predict(features), "fraud-scores")
+    row = scored.agg(F.sum("is_anomaly").alias("flagged"), F.count("*").alias("n")).first()
+    share = abs(row["flagged"] - C.CONTAMINATION * row["n"]) <= 1 + 0.002 * row["n"]
+    auc = model.metrics["supervised"]["auc_roc"]
+    return fraud_facts(scored).withColumns({"share_ok": F.lit(bool(share)), "auc_ok": F.lit(bool(0.5 < auc <= 1))})
 
 
 # --- recommendation -----------------------------------------------------------------------------
@@ -423,6 +506,52 @@ def hybrid_plans(spark, base):
     return rounded(R.HybridRecommender.fit(members).recommend(fx.plan_requests(spark, base), digits=None))
 
 
+# Requests that ask again: every third member a second time with another income, every fifth one twice alike, and
+# people without a membership, some of them twice.
+_REPEATED = """asked AS (SELECT member_id AS m, age, bmi, num_chronic_conditions, CAST(substr(member_id, 4) AS BIGINT) AS k, income_score FROM plan_requests),
+repeated AS (SELECT * FROM asked UNION SELECT m, age, bmi, num_chronic_conditions, k, 0.95::DOUBLE FROM asked WHERE k % 3 = 0
+  UNION SELECT 'NEW' || m, age, bmi, num_chronic_conditions, k, income_score FROM asked WHERE k % 7 = 0
+  UNION SELECT 'NEW' || m, age, bmi, num_chronic_conditions, k, 0.95::DOUBLE FROM asked WHERE k % 14 = 0),
+keyed AS (SELECT m || '/' || COALESCE(CAST(income_score AS VARCHAR), '') AS member_id, * FROM repeated)"""
+_TIERS = """CASE WHEN age > 60 OR num_chronic_conditions >= 3 THEN ['Platinum','Gold','Silver']
+ WHEN age > 40 OR num_chronic_conditions >= 1 THEN ['Gold','Silver','Platinum'] ELSE ['Silver','Bronze','Gold'] END AS p,
+ CASE WHEN age > 60 OR num_chronic_conditions >= 3 THEN [0.90::DOUBLE, 0.75, 0.55]
+ WHEN age > 40 OR num_chronic_conditions >= 1 THEN [0.85::DOUBLE, 0.72, 0.60] ELSE [0.88::DOUBLE, 0.70, 0.55] END AS s"""
+
+
+@query(
+    v.with_views(
+        f"""SELECT m AS member_id, income_score, plan, RND(score, 4) AS score, CAST(rank AS INT) AS rank FROM (
+        SELECT m, income_score, plan, score, row_number() OVER (PARTITION BY m, income_score ORDER BY score DESC, plan) AS rank FROM (
+        SELECT m, income_score, plan, SUM(s) AS score FROM (
+          SELECT m, income_score, plan, 0.4::DOUBLE * score AS s FROM keyed JOIN collab ON m = collab.member_id WHERE rank <= 4
+          UNION ALL SELECT m, income_score, plan, 0.35::DOUBLE * ROUND(score, 4) FROM keyed JOIN knn ON m = knn.member_id WHERE rank <= 4
+          UNION ALL SELECT m, income_score, plan, 0.25::DOUBLE * score FROM keyed JOIN content USING (member_id) WHERE rank <= 4 AND NOT starts_with(m, 'NEW'))
+        GROUP BY 1, 2, 3)) WHERE rank <= 3
+        UNION ALL SELECT m, income_score, plan, RND(score, 4), CAST(rank AS INT) FROM (
+          SELECT m, income_score, unnest(p) AS plan, unnest(s) AS score, unnest([1, 2, 3]) AS rank FROM (SELECT m, income_score, {_TIERS} FROM keyed WHERE starts_with(m, 'NEW')))""",
+        v.MEMBERS, v.PLAN_REQUESTS, _PLANS, _COLLAB, _NEIGHBOURS, _KNN, _REPEATED,
+        _content_sql("keyed", "COALESCE(income_score, 0.5::DOUBLE)"),
+    )
+)
+def hybrid_plans_repeated(spark, base):
+    """Members that ask more than once, alike or not, and askers without a membership: every request by itself."""
+    members, asked = fx.members(spark, base), fx.plan_requests(spark, base)
+    key = F.substring("member_id", 4, 20).cast("long")
+    new = F.concat(F.lit("NEW"), "member_id")
+    again = [
+        asked.where(key % 3 == 0).withColumn("income_score", F.lit(0.95)),
+        asked.where(key % 5 == 0),
+        asked.where(key % 7 == 0).withColumn("member_id", new),
+        asked.where(key % 21 == 0).withColumn("member_id", new),
+        asked.where(key % 14 == 0).withColumns({"member_id": new, "income_score": F.lit(0.95)}),
+    ]
+    requests = reduce(lambda a, b: a.unionByName(b), again, asked)
+    incomes = R.with_request_id(requests).select("request_id", "income_score").distinct()
+    answers = R.HybridRecommender.fit(members).answers(requests, digits=None)
+    return rounded(answers.join(incomes, "request_id").drop("request_id"), "income_score")
+
+
 @query(
     v.with_views(
         """SELECT member_id, plan, score, CAST(rank AS INT) AS rank FROM (SELECT member_id, unnest(p) AS plan, unnest(s) AS score, unnest([1, 2, 3]) AS rank FROM (

@@ -8,21 +8,14 @@ from claimlens import constants as C
 from claimlens import fixtures as fx
 from claimlens.functions import text as X
 from claimlens.operators import notes as N
+from claimlens.session import stage
 from verification import fixture_sql as v
-from verification.registry import query, rounded
-
-
-def _clean_sql(column: str, abbreviations) -> str:
-    out = f"lower(COALESCE({column}, ''))"
-    for short, full in abbreviations.items():
-        out = f"regexp_replace({out}, '\\b{short}\\b', '{full}', 'g')"
-    out = f"regexp_replace({out}, '[^a-z0-9\\s.,\\-/]', ' ', 'g')"
-    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+from verification.registry import query
 
 
 # Word edges that know accented letters, which DuckDB's \b does not: every word is fenced by two control
 # characters, whole fenced words are replaced, and the fences are taken back afterwards.
-def _clean_unicode_sql(column: str, abbreviations) -> str:
+def clean_sql(column: str, abbreviations) -> str:
     word = "[\\p{L}\\p{N}_]"
     out = f"regexp_replace(lower({column}), '({word}+)', chr(2) || '\\1' || chr(3), 'g')"
     for short, full in abbreviations.items():
@@ -33,18 +26,18 @@ def _clean_unicode_sql(column: str, abbreviations) -> str:
     return f"trim(regexp_replace({out}, '[^a-z0-9.,\\-/]+', ' ', 'g'))"
 
 
-@query(v.with_views(f"SELECT note_id, {_clean_sql('clinical_note', C.ABBREVIATIONS)} AS clean_text FROM notes", v.NOTES))
+@query(v.with_views(f"SELECT note_id, {clean_sql('clinical_note', C.ABBREVIATIONS)} AS clean_text FROM notes", v.NOTES))
 def clean_notes(spark, base):
     return N.clean_notes(fx.notes(spark, base)).select("note_id", "clean_text")
 
 
-@query(v.with_views(f"SELECT note_id, {_clean_sql('clinical_note', C.ABBREVIATIONS_SHORT)} AS clean_text FROM notes", v.NOTES))
+@query(v.with_views(f"SELECT note_id, {clean_sql('clinical_note', C.ABBREVIATIONS_SHORT)} AS clean_text FROM notes", v.NOTES))
 def clean_notes_short(spark, base):
     cleaned = X.clean_text(F.col("clinical_note"), C.ABBREVIATIONS_SHORT)
     return fx.notes(spark, base).select("note_id", cleaned.alias("clean_text"))
 
 
-@query(f"SELECT doc_id, md5({_clean_unicode_sql('text', C.ABBREVIATIONS)}) AS clean_md5 FROM documents")
+@query(f"SELECT doc_id, md5({clean_sql('text', C.ABBREVIATIONS)}) AS clean_md5 FROM documents")
 def clean_documents(spark, base):
     """Whole documents in four languages through the clinical cleaner."""
     return fx.table(spark, base, "documents").select("doc_id", F.md5(X.clean_text(F.col("text"))).alias("clean_md5"))
@@ -63,7 +56,7 @@ _CONFIDENCE = "CASE " + " ".join(
         f"""SELECT note_id, substr(t, 1, 200) AS cleaned_text, {_RULES} AS predicted_diagnosis, {_CONFIDENCE} AS confidence,
         'neutral' AS sentiment FROM cleaned""",
         v.NOTES,
-        f"cleaned AS (SELECT note_id, {_clean_sql('clinical_note', C.ABBREVIATIONS_SHORT)} AS t FROM notes)",
+        f"cleaned AS (SELECT note_id, {clean_sql('clinical_note', C.ABBREVIATIONS_SHORT)} AS t FROM notes)",
     )
 )
 def note_analysis(spark, base):
@@ -73,44 +66,28 @@ def note_analysis(spark, base):
 _WORDS = "list_filter(string_split_regex(lower(text), '[\\s\\x{85}\\p{Z}]+'), lambda w: w <> '')"
 
 
-def _sentiment_sql(source: str, key: str, text: str, match: str) -> str:
+def _sentiment_sql(match: str) -> str:
     if match == "token":
-        words, pos, neg = f"string_split_regex(lower({text}), '\\s+')", C.TOKEN_POSITIVE, C.TOKEN_NEGATIVE
+        words, pos, neg = f"string_split_regex(lower(text), '\\s+')", C.TOKEN_POSITIVE, C.TOKEN_NEGATIVE
         count = lambda listed: " + ".join(f"CAST(list_contains(w, '{x}') AS INT)" for x in listed)
     else:
-        words, pos, neg = f"lower({text})", C.SUBSTRING_POSITIVE, C.SUBSTRING_NEGATIVE
+        words, pos, neg = "lower(text)", C.SUBSTRING_POSITIVE, C.SUBSTRING_NEGATIVE
         count = lambda listed: " + ".join(f"CAST(contains(w, '{x}') AS INT)" for x in listed)
     return v.with_views(
-        f"""SELECT {key}, CASE WHEN p > n THEN 'POSITIVE' WHEN n > p THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment
-        FROM (SELECT {key}, {count(pos)} AS p, {count(neg)} AS n FROM (SELECT {key}, {words} AS w FROM {source}))"""
+        f"""SELECT conv_id, turn, CASE WHEN p > n THEN 'POSITIVE' WHEN n > p THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment
+        FROM (SELECT conv_id, turn, {count(pos)} AS p, {count(neg)} AS n FROM (SELECT conv_id, turn, {words} AS w FROM feedback))""",
+        v.FEEDBACK,
     )
 
 
-# feedback: part names and order priorities carry some of the listed words
-_FEEDBACK = """(SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'Great and fast service' WHEN 1 THEN 'still waiting, very slow'
- WHEN 2 THEN 'Helpful doctor but confusing' WHEN 3 THEN 'The claim was rejected without reason' WHEN 4 THEN 'Very professional.'
- WHEN 5 THEN 'BAD and awful, yet good' ELSE 'no opinion' END || ' ' || o_orderpriority AS text FROM orders)"""
-
-
-def _feedback(spark, base):
-    texts = {
-        0: "Great and fast service", 1: "still waiting, very slow", 2: "Helpful doctor but confusing",
-        3: "The claim was rejected without reason", 4: "Very professional.", 5: "BAD and awful, yet good",
-    }
-    opinion = fx._choice(F.col("o_orderkey") % 7, texts, "no opinion")
-    return fx.table(spark, base, "orders").select(
-        "o_orderkey", F.concat(opinion, F.lit(" "), F.col("o_orderpriority")).alias("text")
-    )
-
-
-@query(_sentiment_sql(_FEEDBACK, "o_orderkey", "text", "token"))
+@query(_sentiment_sql("token"))
 def token_sentiment(spark, base):
-    return _feedback(spark, base).select("o_orderkey", X.keyword_sentiment(F.col("text"), "token").alias("sentiment"))
+    return fx.feedback(spark, base).select("conv_id", "turn", X.keyword_sentiment(F.col("text"), "token").alias("sentiment"))
 
 
-@query(_sentiment_sql(_FEEDBACK, "o_orderkey", "text", "substring"))
+@query(_sentiment_sql("substring"))
 def substring_sentiment(spark, base):
-    return _feedback(spark, base).select("o_orderkey", X.keyword_sentiment(F.col("text"), "substring").alias("sentiment"))
+    return fx.feedback(spark, base).select("conv_id", "turn", X.keyword_sentiment(F.col("text"), "substring").alias("sentiment"))
 
 
 @query("SELECT w AS word, COUNT(*) AS n_uses FROM (SELECT unnest(" + _WORDS + ") AS w FROM documents) GROUP BY 1")
@@ -121,13 +98,13 @@ def document_token_counts(spark, base):
 
 _VOCAB = """vocab AS (SELECT word, n_uses, CAST(row_number() OVER (ORDER BY n_uses DESC, word) + 1 AS INT) AS word_id
  FROM (SELECT w AS word, COUNT(*) AS n_uses FROM (SELECT unnest(""" + _WORDS + """) AS w FROM documents) GROUP BY 1)
- ORDER BY n_uses DESC, word LIMIT 298)"""
+ ORDER BY n_uses DESC, word LIMIT 9998)"""
 
 
 @query(v.with_views("SELECT word, n_uses, word_id FROM vocab", _VOCAB))
 def document_vocabulary(spark, base):
     documents = fx.table(spark, base, "documents").select(F.lower("text").alias("text"))
-    return N.build_vocab(documents, "text", 300)
+    return N.build_vocab(documents, "text", 10_000)
 
 
 @query(
@@ -141,25 +118,45 @@ def document_vocabulary(spark, base):
 )
 def encoded_documents(spark, base):
     documents = fx.table(spark, base, "documents").select("doc_id", F.lower("text").alias("text"))
-    vocabulary = N.Vocabulary.of(N.build_vocab(documents, "text", 300))
+    vocabulary = N.Vocabulary.of(N.build_vocab(documents, "text", 10_000))
     encoded = N.encode_notes(documents, vocabulary, "text", 32)
     return encoded.select("doc_id", F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids"))
 
 
-@query()
+def _facts(classifier, predicted, key, label, labels, floor):
+    """Each row's key and label, and whether its prediction is a label with a possible confidence."""
+    possible = F.col("confidence").between(F.round(F.lit(1 / (len(labels) + 1)), 4), 1)
+    return predicted.select(
+        key, label, F.col("predicted_label").isin(labels).alias("label_ok"), possible.alias("confidence_ok"),
+        F.lit(bool(classifier.holdout_accuracy >= floor)).alias("accuracy_ok"),
+    )
+
+
+@query(
+    v.with_views(
+        f"""SELECT note_id, {_RULES} AS diagnosis_code, true AS label_ok, true AS confidence_ok, true AS accuracy_ok FROM cleaned""",
+        v.NOTES,
+        f"cleaned AS (SELECT note_id, {clean_sql('clinical_note', C.ABBREVIATIONS)} AS t FROM notes)",
+    )
+)
 def note_classifier_predictions(spark, base):
-    """Diagnosis learned from cleaned notes, labelled by the keyword rules."""
+    """Diagnosis learned from cleaned notes, labelled by the keyword rules, at the default settings."""
     cleaned = N.clean_notes(fx.notes(spark, base))
-    labelled = cleaned.withColumn("diagnosis_code", X.keyword_diagnosis(F.col("clean_text"))["code"])
-    classifier = N.train_note_classifier(labelled, max_iter=20)
-    return rounded(classifier.predict(labelled).select("note_id", "diagnosis_code", "predicted_label", "confidence"))
+    labelled = stage(cleaned.withColumn("diagnosis_code", X.keyword_diagnosis(F.col("clean_text"))["code"]), "labelled-notes")
+    classifier = N.train_note_classifier(labelled)
+    codes = sorted({code for _, code, _ in C.DIAGNOSIS_RULES} | {C.DEFAULT_DIAGNOSIS[0]})
+    return _facts(classifier, classifier.predict(labelled), "note_id", "diagnosis_code", codes, 0.2)
 
 
-@query()
+@query(
+    """SELECT doc_id, CAST(quality AS VARCHAR) AS quality, true AS label_ok, true AS confidence_ok, true AS accuracy_ok
+    FROM documents LEFT JOIN labels USING (doc_id)"""
+)
 def document_quality_predictions(spark, base):
-    """Sentiment-style classifier trained on the labelled documents."""
+    """Sentiment-style classifier trained on the labelled documents, at the default settings."""
     documents = fx.table(spark, base, "documents").select("doc_id", F.lower("text").alias("text"))
     labels = fx.table(spark, base, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
     labelled = documents.join(labels, "doc_id")
-    classifier = N.train_sentiment(labelled, "text", "quality", "doc_id", max_iter=20)
-    return classifier.predict(documents).select("doc_id", "predicted_label", "confidence")
+    classifier = N.train_sentiment(labelled, "text", "quality", "doc_id")
+    predicted = classifier.predict(documents).join(labels, "doc_id", "left")
+    return _facts(classifier, predicted, "doc_id", "quality", ["0", "1"], 0.6)
