@@ -172,6 +172,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column, null left out, in order."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+
+
 def distinct_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count_distinct(column).alias("n_distinct"))
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from claimlens import constants as C
 from claimlens import fixtures as fx
 from claimlens import schemas
+from claimlens.functions.text import clean_text, keyword_diagnosis
+from claimlens.functions.vectors import argmax, cosine
 from claimlens.operators import evaluation, joins, recommend, reports
 from claimlens.operators.claim_features import ClaimFeatures
 from claimlens.operators.fraud_features import FraudFeatures
@@ -16,7 +18,7 @@ from claimlens.sources import readers, writers
 from claimlens.streaming import scoring
 from verification import fixture_sql as v
 from verification.q_models import _COLLAB, _KNN, _NEIGHBOURS, _PLANS, FRAUD_FACTS, RISK_FACTS, _content_sql, fraud_facts, risk_facts
-from verification.q_text import _CONFIDENCE, _RULES, clean_sql
+from verification.q_text import _CONFIDENCE, _RULES, clean_sql, sentiment_case
 from verification.registry import ROUND_OFFSET, query, rounded
 
 _CLAIM_COLUMNS = (
@@ -221,15 +223,141 @@ def _lake(spark, base):
 
 @query(
     v.with_views(
-        """SELECT CAST(DATE_TRUNC('month', claim_date) AS DATE) AS month, claim_type, COUNT(*) AS num_claims,
-        RND(SUM(claim_amount), 4) AS total_amount, RND(AVG(claim_amount), 4) AS avg_amount,
-        CAST(SUM(is_fraud) AS BIGINT) AS fraud_count FROM claims GROUP BY 1, 2""",
-        v.CLAIMS,
+        """SELECT 'trend' AS report, strftime(DATE_TRUNC('month', claim_date), '%Y-%m') || ' ' || claim_type AS part, COUNT(*) AS n_claims,
+          RND(SUM(claim_amount), 4) AS amount, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud FROM claims GROUP BY 1, 2
+        UNION ALL SELECT 'predictions', c.member_id, COUNT(*), NULL, NULL FROM claims c JOIN members m ON c.member_id = m.member_id
+          WHERE bmi IS NOT NULL GROUP BY 1, 2
+        UNION ALL SELECT * FROM (SELECT 'providers', COALESCE(provider_id, ''), COUNT(*) AS n, RND(AVG(claim_amount), 4), CAST(SUM(is_fraud) AS BIGINT)
+          FROM claims GROUP BY provider_id ORDER BY ROUND(SUM(is_fraud) * 100.0::DOUBLE / COUNT(*), 2) DESC, provider_id NULLS FIRST LIMIT 50)""",
+        v.CLAIMS, v.MEMBERS,
     )
 )
 def lake_job_trends(spark, base):
-    """The whole lake job; its written trend report."""
-    return rounded(spark.read.parquet(f"{_lake(spark, base)}/analytics/monthly_trends"))
+    """The whole lake job at its default rounds: both written reports, and the predictions counted by member."""
+    out = _lake(spark, base)
+    trends = spark.read.parquet(f"{out}/analytics/monthly_trends")
+    part = F.concat(F.date_format("month", "yyyy-MM"), F.lit(" "), "claim_type")
+    trend = trends.select(
+        F.lit("trend").alias("report"), part.alias("part"), F.col("num_claims").alias("n_claims"),
+        F.col("total_amount").alias("amount"), F.col("fraud_count").alias("n_fraud"),
+    )
+    by_member = spark.read.parquet(f"{out}/claim_predictions").groupBy("member_id").agg(F.count("*").alias("n_claims"))
+    none = {"amount": F.lit(None).cast("double"), "n_fraud": F.lit(None).cast("long")}
+    predictions = by_member.select(F.lit("predictions").alias("report"), F.col("member_id").alias("part"), "n_claims").withColumns(none)
+    providers = spark.read.parquet(f"{out}/analytics/provider_risk").select(
+        F.lit("providers").alias("report"), F.coalesce("provider_id", F.lit("")).alias("part"),
+        F.col("total_claims").alias("n_claims"), F.col("avg_claim").alias("amount"), F.col("fraud_claims").alias("n_fraud"),
+    )
+    return rounded(trend.unionByName(predictions).unionByName(providers))
+
+
+def _tables(spark, base):
+    return {"claims": fx.claims(spark, base), "members": fx.members(spark, base), "providers": fx.providers(spark, base), "notes": fx.notes(spark, base)}
+
+
+@query(
+    v.with_views(
+        """SELECT 'claims' AS matrix, COUNT(*) AS n_rows, COUNT(DISTINCT claim_id) AS n_claims FROM claims
+        UNION ALL SELECT 'claim_features', COUNT(*), COUNT(DISTINCT claim_id) FROM claims
+        UNION ALL SELECT 'fraud_features', COUNT(*), COUNT(DISTINCT claim_id) FROM claims""",
+        v.CLAIMS,
+    )
+)
+def preprocessed_rows(spark, base):
+    """The combined preprocessing keeps every claim once in each of its tables."""
+    ready = jobs.preprocess_all(_tables(spark, base))
+    parts = {"claims": ready.claims, "claim_features": ready.claim_features, "fraud_features": ready.fraud_features}
+    rows = [
+        df.agg(F.lit(name).alias("matrix"), F.count("*").alias("n_rows"), F.countDistinct("claim_id").alias("n_claims"))
+        for name, df in parts.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query(
+    v.with_views(
+        "SELECT name, true AS auc_ok, true AS registered, (SELECT COUNT(*) FROM claims) AS n_predictions FROM (SELECT unnest(['claim_logistic', 'claim_rf']) AS name)",
+        v.CLAIMS,
+    )
+)
+def full_job_results(spark, base):
+    """The claim module of the whole job: families with five-fold AUC, the best one's predictions, results and registry."""
+    out = new_stage_path(spark, "full-job")
+    gated = jobs.run(_tables(spark, base), out, module="claim", families=("logistic", "rf"))
+    results = spark.read.schema(schemas.RUN_RESULTS).json(f"{out}/run_results").select(F.explode("results").alias("name", "auc"))
+    registry = spark.read.schema(schemas.MODEL_REGISTRY).parquet(f"{out}/registry")
+    known = registry.groupBy(F.col("model_name").alias("name")).agg(F.lit(True).alias("registered"))
+    n = spark.read.parquet(f"{out}/claim_predictions").count()
+    return (
+        results.join(known, "name", "left").join(gated.select(F.col("model").alias("name")), "name")
+        .select("name", F.col("auc").between(0.4, 1).alias("auc_ok"), F.coalesce("registered", F.lit(False)).alias("registered"), F.lit(n).alias("n_predictions"))
+    )
+
+
+@query(
+    v.with_views(
+        f"""SELECT 'notes' AS output, {_RULES} AS value, COUNT(*) AS n FROM cleaned GROUP BY 1, 2
+        UNION ALL SELECT 'feedback', {sentiment_case("token")}, COUNT(*) FROM feedback GROUP BY 1, 2""",
+        v.NOTES, v.FEEDBACK,
+        f"cleaned AS (SELECT note_id, {clean_sql('clinical_note', C.ABBREVIATIONS)} AS t FROM notes)",
+    )
+)
+def text_job_outputs(spark, base):
+    """The text job: written clean notes, counted by the diagnosis their text shows, and rated feedback."""
+    out = new_stage_path(spark, "text-job")
+    notes = fx.notes(spark, base)
+    labelled = notes.withColumn("diagnosis_code", keyword_diagnosis(clean_text(F.col("clinical_note")))["code"])
+    jobs.run_text(labelled, fx.feedback(spark, base), out)
+    written = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/cleaned_notes")
+    shown = written.select(F.lit("notes").alias("output"), keyword_diagnosis(F.col("clean_text"))["code"].alias("value"))
+    rated = spark.read.parquet(f"{out}/feedback_sentiment").select(F.lit("feedback").alias("output"), F.col("sentiment").alias("value"))
+    return shown.unionByName(rated).groupBy("output", "value").agg(F.count("*").alias("n"))
+
+
+@query(
+    v.with_views(
+        """SELECT member_id, plan AS recommended_plan, RND(ROUND(score + 1e-9::DOUBLE, 4), 4) AS recommendation_score, '1' AS model_version FROM (
+        SELECT member_id, plan, score, row_number() OVER (PARTITION BY member_id ORDER BY score DESC, plan) AS rank FROM (
+        SELECT member_id, plan, SUM(s) AS score FROM (SELECT member_id, plan, 0.4::DOUBLE * score AS s FROM collab WHERE rank <= 4
+          UNION ALL SELECT member_id, plan, 0.35::DOUBLE * ROUND(score, 4) FROM knn WHERE rank <= 4
+          UNION ALL SELECT member_id, plan, 0.25::DOUBLE * score FROM content WHERE rank <= 4) GROUP BY 1, 2)) WHERE rank <= 3""",
+        v.MEMBERS, _PLANS, _COLLAB, _NEIGHBOURS, _KNN, _content_sql("members", "0.5::DOUBLE"),
+    )
+)
+def recommendation_job_plans(spark, base):
+    """The recommendation job's written table."""
+    written = jobs.run_recommend(stage(fx.members(spark, base), "members"), new_stage_path(spark, "recommendation-job"))
+    return rounded(written.drop("created_at"))
+
+
+@query("SELECT least(25, COUNT(*)) AS n_rows, true AS known FROM documents")
+def limited_documents(spark, base):
+    """A document read with a limit: so many rows, all of them stored ones."""
+    path = new_stage_path(spark, "documents")
+    notes = fx.notes(spark, base)
+    writers.append_documents(notes, path)
+    some = readers.read_documents(spark, path, notes.schema, limit=25)
+    known = some.select("note_id").distinct().join(notes.select("note_id"), "note_id", "left_semi")
+    counts = some.agg(F.count("*").alias("n_rows")).crossJoin(known.agg(F.count("*").alias("n_known")))
+    return counts.select("n_rows", (F.col("n_known") == F.col("n_rows")).alias("known"))
+
+
+@query(v.with_views("SELECT DISTINCT plan_type FROM members WHERE plan_type IS NOT NULL", v.MEMBERS))
+def distinct_plans(spark, base):
+    return reports.distinct_values(fx.members(spark, base), "plan_type")
+
+
+@query(
+    """SELECT a.vec_id, CAST(list_position(a.embedding, list_max(a.embedding)) - 1 AS INT) AS peak,
+    ROUND(0.0000123::DOUBLE + list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS similarity
+    FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
+)
+def embedding_facts(spark, base):
+    """Position of a vector's maximum, and its similarity to the next vector."""
+    vectors = fx.table(spark, base, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    following = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("w"))
+    both = vectors.join(following, "vec_id")
+    return rounded(both.select("vec_id", argmax(F.col("v")).alias("peak"), cosine(F.col("v"), F.col("w")).alias("similarity")))
 
 
 _NOTE_REQUESTS = """note_requests AS (SELECT CASE WHEN doc_id % 19 <> 0 THEN note_id END AS note_id,

@@ -66,18 +66,19 @@ def note_analysis(spark, base):
 _WORDS = "list_filter(string_split_regex(lower(text), '[\\s\\x{85}\\p{Z}]+'), lambda w: w <> '')"
 
 
-def _sentiment_sql(match: str) -> str:
+def sentiment_case(match: str) -> str:
+    """Sentiment of a column ``text``."""
     if match == "token":
-        words, pos, neg = f"string_split_regex(lower(text), '\\s+')", C.TOKEN_POSITIVE, C.TOKEN_NEGATIVE
-        count = lambda listed: " + ".join(f"CAST(list_contains(w, '{x}') AS INT)" for x in listed)
+        words, pos, neg = "string_split_regex(lower(text), '\\s+')", C.TOKEN_POSITIVE, C.TOKEN_NEGATIVE
+        count = lambda listed: " + ".join(f"CAST(list_contains({words}, '{x}') AS INT)" for x in listed)
     else:
         words, pos, neg = "lower(text)", C.SUBSTRING_POSITIVE, C.SUBSTRING_NEGATIVE
-        count = lambda listed: " + ".join(f"CAST(contains(w, '{x}') AS INT)" for x in listed)
-    return v.with_views(
-        f"""SELECT conv_id, turn, CASE WHEN p > n THEN 'POSITIVE' WHEN n > p THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment
-        FROM (SELECT conv_id, turn, {count(pos)} AS p, {count(neg)} AS n FROM (SELECT conv_id, turn, {words} AS w FROM feedback))""",
-        v.FEEDBACK,
-    )
+        count = lambda listed: " + ".join(f"CAST(contains({words}, '{x}') AS INT)" for x in listed)
+    return f"CASE WHEN {count(pos)} > {count(neg)} THEN 'POSITIVE' WHEN {count(neg)} > {count(pos)} THEN 'NEGATIVE' ELSE 'NEUTRAL' END"
+
+
+def _sentiment_sql(match: str) -> str:
+    return v.with_views(f"SELECT conv_id, turn, {sentiment_case(match)} AS sentiment FROM feedback", v.FEEDBACK)
 
 
 @query(_sentiment_sql("token"))
