@@ -31,7 +31,8 @@ from claimlens.llm.shingles import bitmap, shingle_set, signature
 from claimlens.llm.signature_tree import OVERLAP, SIZES, candidate_pairs
 from claimlens.session import stage
 
-CHUNK = 512  # nodes of a block or group in one chunk
+CHUNK = 8192  # nodes of a block or group in one chunk
+ROWS = 512  # sets in an Arrow batch
 LISTED = 2_000_000  # nodes (16 bytes each) whose list is broadcast to the texts; longer lists are joined by exchange
 
 Find = Callable[[np.ndarray], np.ndarray]
@@ -120,13 +121,13 @@ class Forest:
         self.root[self.root == max(one, two)] = min(one, two)
 
 
-def joining_links(left: np.ndarray, right: np.ndarray, size: int, check: Callable[[int, np.ndarray], np.ndarray]) -> list:
+def joining_links(left: np.ndarray, right: np.ndarray, forest: Forest, check: Callable[[int, np.ndarray], np.ndarray]) -> list:
     """Links among the candidate pairs that connect the rows, checking no pair that is connected already.
 
     ``check(row, others)`` says which of ``others`` link with ``row``.  Of every component around a row one pair is
     checked at a time, until all its candidates are connected to it or checked.
     """
-    forest, links = Forest(size), []
+    links = []
     order = np.lexsort((left, right))
     left, right = left[order], right[order]
     rows, starts = np.unique(right, return_index=True)
@@ -156,12 +157,6 @@ def _search(rows: DataFrame, exact: bool) -> DataFrame:
             sizes = unit.column("n_shingles").to_numpy()[place]
             chunk = unit.column("chunk").to_numpy()[place]
             bits = unit.column("bits").take(place).to_pylist()
-            left, right = candidate_pairs(sizes, bits)
-            if chunk.min() != chunk.max():  # pairs inside a chunk are another unit's
-                apart = chunk[left] != chunk[right]
-                left, right = left[apart], right[apart]
-            if not len(left):
-                continue
             if exact:
                 sets = [np.frombuffer(s, np.uint64) for s in unit.column("set").take(place).to_pylist()]
 
@@ -177,7 +172,12 @@ def _search(rows: DataFrame, exact: bool) -> DataFrame:
                 def check(row: int, others: np.ndarray) -> np.ndarray:
                     return np.ones(len(others), bool)
 
-            links = np.array(joining_links(left, right, len(nodes), check), np.int64).reshape(-1, 2)
+            forest, links = Forest(len(nodes)), []
+            for left, right in candidate_pairs(sizes, bits, chunk, forest.root):
+                links += joining_links(left, right, forest, check)
+            if not links:
+                continue
+            links = np.array(links, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[links[:, 0]]), pa.array(nodes[links[:, 1]])], names=["a", "b"])
 
     dealt = rows.repartition("unit").sortWithinPartitions("unit")
@@ -205,7 +205,7 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 facts = (node.as_py(), len(found), bitmap(found), found.tobytes())
                 for place in places.as_py():
                     held.append((place["unit"], place["chunk"], *facts))
-                    if len(held) >= CHUNK:
+                    if len(held) >= ROWS:
                         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in held], schema=schema)
                         held = []
         if held:

@@ -80,9 +80,13 @@ def test_tree_loses_no_pair():
     sets = [shingle_set(t) for t in texts]
     sets = list({signature(s): s for s in sets}.values())
     sizes = np.array([len(s) for s in sets])
-    left, right = candidate_pairs(sizes, [bitmap(s) for s in sets])
-    found = set(zip(left.tolist(), right.tolist()))
-    assert len(found) == len(left) and all(a < b for a, b in found)
+    bitmaps = [bitmap(s) for s in sets]
+    listed = [pair for left, right in candidate_pairs(sizes, bitmaps) for pair in zip(left.tolist(), right.tolist())]
+    found = set(listed)
+    assert len(found) == len(listed) and all(a < b for a, b in found)
+    side = np.arange(len(sets)) % 2
+    across = {pair for left, right in candidate_pairs(sizes, bitmaps, side) for pair in zip(left.tolist(), right.tolist())}
+    assert across == {(a, b) for a, b in found if side[a] != side[b]}
     for b in range(len(sets)):
         for a in range(b):
             common = len(np.intersect1d(sets[a], sets[b]))
