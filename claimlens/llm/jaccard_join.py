@@ -111,7 +111,7 @@ def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 class Forest:
-    """Union-find over a unit's rows."""
+    """Union-find over a unit's rows; the root of a component is its smallest row."""
 
     def __init__(self, size: int) -> None:
         self.root = np.arange(size)
@@ -121,13 +121,12 @@ class Forest:
         self.root[self.root == max(one, two)] = min(one, two)
 
 
-def joining_links(left: np.ndarray, right: np.ndarray, forest: Forest, check: Callable[[int, np.ndarray], np.ndarray]) -> list:
-    """Links among the candidate pairs that connect the rows, checking no pair that is connected already.
+def join_links(left: np.ndarray, right: np.ndarray, forest: Forest, check: Callable[[int, np.ndarray], np.ndarray]) -> None:
+    """Connect the rows by the links among the candidate pairs, checking no pair that is connected already.
 
     ``check(row, others)`` says which of ``others`` link with ``row``.  Of every component around a row one pair is
     checked at a time, until all its candidates are connected to it or checked.
     """
-    links = []
     order = np.lexsort((left, right))
     left, right = left[order], right[order]
     rows, starts = np.unique(right, return_index=True)
@@ -141,13 +140,11 @@ def joining_links(left: np.ndarray, right: np.ndarray, forest: Forest, check: Ca
             for other in others[first][check(row, others[first])]:
                 if forest.root[other] != forest.root[row]:
                     forest.join(row, other)
-                    links.append((row, other))
             others = np.delete(others, first)
-    return links
 
 
 def _search(rows: DataFrame, exact: bool) -> DataFrame:
-    """(a, b): links that connect the nodes of every unit; candidates only if not ``exact``."""
+    """(a, b): every node with the smallest node it is connected to in its unit; candidates only if not ``exact``."""
 
     def per_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in units(batches):
@@ -172,13 +169,11 @@ def _search(rows: DataFrame, exact: bool) -> DataFrame:
                 def check(row: int, others: np.ndarray) -> np.ndarray:
                     return np.ones(len(others), bool)
 
-            forest, links = Forest(len(nodes)), []
+            forest = Forest(len(nodes))
             for left, right in candidate_pairs(sizes, bits, chunk, forest.root):
-                links += joining_links(left, right, forest, check)
-            if not links:
-                continue
-            links = np.array(links, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[links[:, 0]]), pa.array(nodes[links[:, 1]])], names=["a", "b"])
+                join_links(left, right, forest, check)
+            moved = np.flatnonzero(forest.root != np.arange(len(nodes)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[forest.root[moved]])], names=["a", "b"])
 
     dealt = rows.repartition("unit").sortWithinPartitions("unit")
     return dealt.mapInArrow(per_unit, "a long, b long")
