@@ -226,7 +226,7 @@ def _lake(spark, base):
         """SELECT 'trend' AS report, strftime(DATE_TRUNC('month', claim_date), '%Y-%m') || ' ' || claim_type AS part, COUNT(*) AS n_claims,
           RND(SUM(claim_amount), 4) AS amount, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud FROM claims GROUP BY 1, 2
         UNION ALL SELECT 'predictions', c.member_id, COUNT(*), NULL, NULL FROM claims c JOIN members m ON c.member_id = m.member_id
-          WHERE bmi IS NOT NULL GROUP BY 1, 2
+          GROUP BY 1, 2
         UNION ALL SELECT * FROM (SELECT 'providers', COALESCE(provider_id, ''), COUNT(*) AS n, RND(AVG(claim_amount), 4), CAST(SUM(is_fraud) AS BIGINT)
           FROM claims GROUP BY provider_id ORDER BY ROUND(SUM(is_fraud) * 100.0::DOUBLE / COUNT(*), 2) DESC, provider_id NULLS FIRST LIMIT 50)""",
         v.CLAIMS, v.MEMBERS,
@@ -467,7 +467,7 @@ def streamed_fraud_scores(spark, base):
     """Fraud requests scored from stored statistics: consistent, and equal to the batch job's scores."""
     claims = stage(fx.claims(spark, base), "claims")
     features, matrix = FraudFeatures().fit_transform(claims)
-    model = fraud_models.train_fraud(matrix)
+    model = fraud_models.train_fraud(matrix, supervised=False)  # scoring uses forest and clusters
     source, out, checkpoint = (new_stage_path(spark, n) for n in ("fraud-requests", "fraud-scores", "fraud-checkpoint"))
     names = [f for f in schemas.FRAUD_REQUEST.names if f in claims.columns]
     writers.append_documents(claims.select(*names), source)
