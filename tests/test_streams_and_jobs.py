@@ -120,7 +120,10 @@ def test_lake_job(spark, claims, members):
 
 def test_text_job(spark, base):
     out = new_stage_path(spark, "text")
-    table = fx.notes(spark, base).withColumn("diagnosis_code", F.concat(F.lit("D"), F.length("clinical_note") % 3))
+    # few words and many notes, so that the classifier can learn the code from the word
+    words = ["asthma", "kidney", "wellness"]
+    rows = [(f"N{i:03d}", f"Visit {i % 7}, {words[i % 3]} again", f"D{i % 3}") for i in range(240)]
+    table = spark.createDataFrame(rows, "note_id string, clinical_note string, diagnosis_code string")
     feedback = spark.createDataFrame([("great and fast",)], "text string")
     classifier = jobs.run_text(table, feedback, out, max_iter=10)
     assert classifier.holdout_accuracy > 0.9

@@ -58,7 +58,7 @@ def test_keyword_diagnosis(spark, text, code, confidence):
 FEEDBACK = [
     ("smooth words and great ones", "POSITIVE", "POSITIVE"),
     ("rejected, then a slow answer", "NEGATIVE", "NEGATIVE"),
-    ("helpful clerk, confusing form.", "POSITIVE", "NEUTRAL"),
+    ("helpful clerk, form confusing.", "POSITIVE", "NEUTRAL"),
     ("fast! fast! and frustrating", "NEUTRAL", "NEUTRAL"),
     ("awful and terrible but smoothly done", "NEGATIVE", "POSITIVE"),
 ]

@@ -146,7 +146,7 @@ def note_classifier_predictions(spark, base):
     labelled = stage(cleaned.withColumn("diagnosis_code", X.keyword_diagnosis(F.col("clean_text"))["code"]), "labelled-notes")
     classifier = N.train_note_classifier(labelled)
     codes = sorted({code for _, code, _ in C.DIAGNOSIS_RULES} | {C.DEFAULT_DIAGNOSIS[0]})
-    return _facts(classifier, classifier.predict(labelled), "note_id", "diagnosis_code", codes, 0.2)
+    return _facts(classifier, classifier.predict(labelled), "note_id", "diagnosis_code", codes, 0.1)
 
 
 @query(
