@@ -97,4 +97,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM doc LEFT JOIN found USING (doc_id)
 """
 
-SQL = {"op1_license_scan": OP1, "op3_exact_dedup": OP3, "op6_decontamination": OP6, "op7_line_dedup": OP7}
+OP10 = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM doc WHERE len(w) > 0))
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+),
+reach AS (SELECT doc_id, doc_id AS r FROM doc UNION SELECT doc_id, b FROM reach JOIN link ON r = a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
+SQL = {"op1_license_scan": OP1, "op10_jaccard_join": OP10, "op3_exact_dedup": OP3, "op6_decontamination": OP6, "op7_line_dedup": OP7}
