@@ -4,9 +4,9 @@ Every document is a mixture of languages: each of its letter trigrams is drawn f
 maximisation estimates the proportions from the trigram likelihoods of the learnt languages; languages are then taken
 out while that raises the penalised log likelihood.  The language with the largest proportion is the prediction.
 
-Trigram counts per language are summed by Spark over a sample of labelled rows of stated size (``SAMPLE`` documents,
-drawn by a hash of their id); the table reaching the driver has ``BINS`` entries per language.  Whole texts are read,
-in pieces of ``PIECE`` characters, so memory does not grow with a text.
+Trigram counts per language are summed by Spark over all labelled rows that may be learnt from, so that every language
+among them is known, however rare; the table reaching the driver has ``BINS`` entries per language.  Whole texts are
+read, in pieces of ``PIECE`` characters, so memory does not grow with a text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is every text if nothing could be
 learnt; rows are judged one by one, repeated or not; an empty table gives no rows.
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import learn_row
 
 BINS = 1 << 15
-SAMPLE = 20_000
 PIECE = 1 << 20
 ROUNDS = 12
 SETTLED = 1e-3
@@ -60,11 +59,9 @@ class Languages:
     log_p: np.ndarray  # languages x bins
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Languages:
+def learn(docs: DataFrame) -> Languages:
     """Smoothed trigram distributions of every language among the rows that may be learnt from."""
-    rows = docs.where(F.col("lang").isNotNull() & learn_row("doc_id")).select("doc_id", "lang", "text")
-    share = min(1.0, sample / max(1, rows.drop("text").count()))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = docs.where(F.col("lang").isNotNull() & learn_row("doc_id")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -79,7 +76,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Languages:
                 names=["lang", "bin", "n"],
             )
 
-    summed = drawn.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    summed = rows.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     per_lang = summed.groupBy("lang").agg(F.collect_list(F.struct("bin", "n")).alias("cells")).collect()
     names = sorted(row["lang"] for row in per_lang)
     counts = np.zeros((len(names), BINS))

@@ -42,6 +42,18 @@ def test_mixture_finds_both_languages(spark, larger):
     assert set(names) == {"en", "de"} and 0.3 < names["en"] < 0.7
 
 
+def test_rare_language_is_learnt(spark):
+    common = "'the weather was fine and the people of the town went out'"
+    rare = "'zq xvyk wjzq kxv qyzw vkjx zzq wyx qkv'"
+    docs = spark.range(200_000).selectExpr(
+        "id AS doc_id", "if(id % 40000 = 0, 'zz', 'en') AS lang", f"if(id % 40000 = 0, {rare}, {common}) AS text"
+    )
+    model = langid.learn(docs)
+    assert model.names == ["en", "zz"]
+    found = {r["lang_pred"] for r in langid.identify(docs.where("lang = 'zz'"), model).collect()}
+    assert found == {"zz"}
+
+
 def test_pieces_do_not_change_counts():
     text = "Ein Satz, ÄÖÜ und noch einer 12 34. " * 50
     whole = langid.trigram_counts(text)
