@@ -30,7 +30,7 @@ ROUNDS = 12
 SETTLED = 1e-3
 UNKNOWN = "und"
 
-_LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
+_LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -41,7 +41,7 @@ def trigram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     for at in range(0, len(text), PIECE):
         piece = text[max(0, at - 2) : at + PIECE].lower()
         codes = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)
-        letter = _LETTER[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+        letter = _LETTER[codes]
         codes = np.where(letter, codes, 32)
         keep = letter.copy()
         keep[1:] |= letter[:-1]  # the first gap after a word

@@ -65,6 +65,18 @@ def test_pieces_do_not_change_counts():
     assert set(whole[0]) <= set(bins) and abs(counts.sum() - whole[1].sum()) < len(text) / 16
 
 
+def test_symbols_beyond_16_bits_are_no_letters(spark):
+    docs = spark.createDataFrame(
+        [(n, "en", f"plain words of text {n}") for n in range(20)]
+        + [(100, "en", "\U0001F600\U0001F680"), (101, "en", "\U0001D7D8 \U0001F3B5"), (102, "en", "\U00010330\U00010331")],
+        "doc_id long, lang string, text string",
+    )
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs).where("doc_id >= 100").collect()}
+    assert found[100] == found[101] == ("und", 0.0)  # emoji; a digit and a note
+    assert found[102] == ("en", 1.0)  # Gothic letters
+    assert len(langid.trigram_counts("\U00010330\U00010331")[0]) == 2
+
+
 def test_awkward_rows(spark, odd, no_docs, small):
     labels = table(spark, small, "labels")
     for docs in (odd, no_docs):
