@@ -14,6 +14,8 @@ from claimlens.plans import claim_models, fraud_models, jobs
 from claimlens.session import new_stage_path, stage, stage_dir, staging
 from claimlens.sources import readers, writers
 from claimlens.streaming import scoring
+from verification.harness import connect, differences, oracle_rows, spark_rows
+from verification.load import REGISTRY
 
 
 def as_stream(spark, df, name):
@@ -100,6 +102,20 @@ def test_full_job(spark, base, claims, members):
     assert registry.count() == 3 and registry.where("is_active").count() == 2
 
 
+def test_registered_job_runs_every_module(spark, base, monkeypatch):
+    """The registered query with short trainings: its choice of modules and families is its own."""
+    run = jobs.run
+    short = {"logistic": 20, "rf": 5, "xgboost": 2, "lightgbm": 2}
+    monkeypatch.setattr(
+        jobs, "run", lambda *a, **b: run(*a, **b | {"rounds": short, "fraud_rounds": 2, "restarts": 1, "folds": 0})
+    )
+    query, sql = REGISTRY["full_job_results"]
+    got = spark_rows(query(spark, base))
+    assert differences(got, oracle_rows(connect(base), sql)) == []
+    names = {"claim_logistic", "claim_rf", "claim_xgboost", "claim_lightgbm", "fraud_auc", "recommend"}
+    assert {row[got[0].index("name")] for row in got[1]} == names
+
+
 def test_gate_stops_a_weak_run(spark, claims, members):
     out = new_stage_path(spark, "weak")
     with pytest.raises(ValueError, match="below AUC"):

@@ -276,22 +276,47 @@ def preprocessed_rows(spark, base):
 
 @query(
     v.with_views(
-        "SELECT name, true AS auc_ok, true AS registered, (SELECT COUNT(*) FROM claims) AS n_predictions FROM (SELECT unnest(['claim_logistic', 'claim_rf']) AS name)",
-        v.CLAIMS,
+        """SELECT name, true AS auc_ok, true AS registered, (SELECT COUNT(*) FROM claims) AS n_predictions, (SELECT COUNT(DISTINCT claim_id) FROM claims) AS n_right
+        FROM (SELECT unnest(['claim_logistic', 'claim_rf', 'claim_xgboost', 'claim_lightgbm', 'fraud_auc']) AS name)
+        UNION ALL SELECT 'recommend', NULL, false, 3 * COUNT(*), 3 * COUNT(DISTINCT member_id) FROM members""",
+        v.CLAIMS, v.MEMBERS,
     )
 )
 def full_job_results(spark, base):
-    """The claim module of the whole job: families with five-fold AUC, the best one's predictions, results and registry."""
+    """The whole job, all modules and default families: AUC, registry, and what was written of each model's predictions.
+
+    ``n_right`` counts the keys whose written row is consistent; a plan counts once per member.
+    """
     out = new_stage_path(spark, "full-job")
-    gated = jobs.run(_tables(spark, base), out, module="claim", families=("logistic", "rf"))
+    gated = jobs.run(_tables(spark, base), out)
     results = spark.read.schema(schemas.RUN_RESULTS).json(f"{out}/run_results").select(F.explode("results").alias("name", "auc"))
     registry = spark.read.schema(schemas.MODEL_REGISTRY).parquet(f"{out}/registry")
-    known = registry.groupBy(F.col("model_name").alias("name")).agg(F.lit(True).alias("registered"))
-    n = spark.read.parquet(f"{out}/claim_predictions").count()
-    return (
+    registered_as = F.when(F.col("model_name") == "fraud", "fraud_auc").otherwise(F.col("model_name"))
+    known = registry.groupBy(registered_as.alias("name")).agg(F.lit(True).alias("registered"))
+
+    def written(facts, key):
+        right = F.lit(True)
+        for c in facts.columns:
+            right = right & F.col(c) if c.endswith("_ok") else right
+        return facts.agg(F.count("*").alias("n"), F.countDistinct(F.when(right, F.col(key))).alias("right")).first()
+
+    claim = written(risk_facts(spark.read.parquet(f"{out}/claim_predictions")), "claim_id")
+    fraud = written(fraud_facts(spark.read.parquet(f"{out}/fraud_predictions")), "claim_id")
+    plans = spark.read.parquet(f"{out}/plan_recommendations")
+    is_fraud = F.col("name") == "fraud_auc"
+    models = (
         results.join(known, "name", "left").join(gated.select(F.col("model").alias("name")), "name")
-        .select("name", F.col("auc").between(0.4, 1).alias("auc_ok"), F.coalesce("registered", F.lit(False)).alias("registered"), F.lit(n).alias("n_predictions"))
+        .select(
+            "name", F.col("auc").between(0.4, 1).alias("auc_ok"), F.coalesce("registered", F.lit(False)).alias("registered"),
+            F.when(is_fraud, F.lit(fraud["n"])).otherwise(F.lit(claim["n"])).alias("n_predictions"),
+            F.when(is_fraud, F.lit(fraud["right"])).otherwise(F.lit(claim["right"])).alias("n_right"),
+        )
+    )
+    recommended = plans.agg(
+        F.lit("recommend").alias("name"), F.lit(None).cast("boolean").alias("auc_ok"), F.lit(False).alias("registered"),
+        F.count("*").alias("n_predictions"), F.countDistinct("member_id", "recommended_plan").alias("n_right"),
     )
+    return models.unionByName(recommended)
 
 
 @query(
