@@ -119,6 +119,16 @@ def test_forest_is_repeatable(spark, ready):
     assert runs[0].trees == runs[1].trees and runs[0].offset == runs[1].offset
 
 
+def test_rows_of_one_claim_share_a_basket(spark):
+    rows = [("a", "X", "P"), ("a", "Y", "P"), ("a", None, None), ("b", "X", "P"), ("c", None, None), (None, "X", "Q"), (None, "Y", "Q")]
+    claims = spark.createDataFrame(rows, "claim_id string, diagnosis_code string, procedure_code string")
+    found = sorted(((r["claim_id"] or "", r["items"]) for r in fraud.baskets(claims).collect()))
+    assert found == [("", ["Q", "X"]), ("", ["Q", "Y"]), ("a", ["P", "X", "Y"]), ("b", ["P", "X"]), ("c", [])]
+    claims = claims.where("claim_id IN ('a', 'b')")
+    rules = {(r["antecedent"], r["consequent"]): r["support"] for r in fraud.association_rules(claims, 0.01, 0.5).collect()}
+    assert rules[("Y", "X")] == 0.5 and rules[("P", "X")] == 1.0
+
+
 def test_association_rules_measure_whole_baskets(spark):
     rows = [("c1", "d1", "p1"), ("c2", "d1", "p1"), ("c3", "d2", "p1"), ("c4", None, None)]
     claims = spark.createDataFrame(rows, "claim_id string, diagnosis_code string, procedure_code string")
