@@ -1,8 +1,9 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams against every training token window.
 
-The benchmark's windows are broadcast in blocks of a stated size, however large the benchmark is; each block meets
-every token window of every document inside the scan, so nothing is shuffled but hits and one count row per document.
-The first three words of a window are its hash key; a hit is verified word for word.
+The benchmark's windows are broadcast in blocks of a stated size, however large the benchmark is and whatever its items
+share: blocks are cut by a hash of the whole window and hold no item ids.  Each block meets every token window of every
+document inside the scan, so nothing is shuffled but hits and one count row per document; the ids of the items are
+joined to the hits afterwards.  The first three words of a window are its hash key; a hit is verified word for word.
 
 Defined results: null text has no words; an item of no words has no window, one of fewer than ``size`` words is one
 window; a null ``item_id`` is listed as an empty string; rows repeating id and text give one row each; rows sharing
@@ -22,7 +23,8 @@ from claimlens.session import stage
 
 WINDOW = 10
 ANCHOR = 3  # leading words that make the hash key
-BLOCK = 400_000  # windows in a broadcast; a window of ten words takes about 200 bytes
+BLOCK = 400_000  # windows in a broadcast
+BYTES = 200  # of text that a window may have on average in a broadcast; longer ones make more blocks
 
 
 def _joined(words: Column, start: Column, length: Column) -> Column:
@@ -34,7 +36,7 @@ def _anchor(words: Column, start: Column, length: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Distinct windows (anchor, lead, length, window) with the ids of their items."""
+    """Windows (anchor, lead, length, window) of every item, once each."""
     words = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         word_list(ascii_lower(whole("text"))).alias("words"),
@@ -49,17 +51,13 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
         range(1, ANCHOR),
         _anchor(F.col("words"), F.col("start"), ANCHOR),
     )
-    return (
-        starts.select(
-            anchor.alias("anchor"),
-            lead.alias("lead"),
-            "length",
-            _joined(F.col("words"), F.col("start"), F.col("length")).alias("window"),
-            "item",
-        )
-        .groupBy("anchor", "lead", "length", "window")
-        .agg(F.collect_set("item").alias("items"))
-    )
+    return starts.select(
+        anchor.alias("anchor"),
+        lead.alias("lead"),
+        "length",
+        _joined(F.col("words"), F.col("start"), F.col("length")).alias("window"),
+        "item",
+    ).distinct()
 
 
 def _scan(docs: DataFrame, windows: DataFrame, leads: list[int]) -> DataFrame:
@@ -91,30 +89,37 @@ def _scan(docs: DataFrame, windows: DataFrame, leads: list[int]) -> DataFrame:
             counts.alias("counts"),
             F.when(F.col("window").isNotNull(), F.struct("pos", "length")).alias("span"),
             "window",
-            "items",
         )
     )
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """Per row of ``docs``: n_words, n_hit, n_items, items (sorted as strings), spans and version of its text."""
-    windows = stage(item_windows(benchmark, size), "test-windows")
-    facts = windows.agg(F.count("*"), F.sort_array(F.collect_set("lead"))).first()
-    blocks, leads = max(1, math.ceil(facts[0] / block)), facts[1] or [ANCHOR]
+    of_items = stage(item_windows(benchmark, size), "item-windows")
+    windows = stage(of_items.drop("item").distinct(), "test-windows")
+    facts = windows.agg(F.count("*"), F.sort_array(F.collect_set("lead")), F.sum(F.octet_length("window"))).first()
+    blocks, leads = max(1, math.ceil(max(facts[0], (facts[2] or 0) / BYTES) / block)), facts[1] or [ANCHOR]
     scans = []
     for b in range(blocks):
-        part = windows.where(F.pmod("anchor", F.lit(blocks)) == b) if blocks > 1 else windows
+        part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b) if blocks > 1 else windows
         scan = _scan(docs, part, leads)
         scans.append(scan if b == 0 else scan.where("window IS NOT NULL").withColumn("counts", F.lit(False)))
-    found = reduce(DataFrame.unionByName, scans)
+    found = stage(reduce(DataFrame.unionByName, scans), "window-hits")
+    hits = found.where("window IS NOT NULL").select("doc_id", "version", "window").distinct()
+    items = (
+        hits.join(of_items.select("window", "item"), "window")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+        .agg(F.collect_set("item").alias("items"))
+    )
     per_doc = found.groupBy("doc_id", "version").agg(
         F.max("n_words").alias("n_words"),
         F.collect_set("span").alias("spans"),
-        F.flatten(F.collect_set("items")).alias("items"),
         # The counting row, at place 0, comes once for every window of the block that begins there.
         F.count_if("counts").alias("count_rows"),
         F.size(F.collect_set(F.when(F.col("counts"), F.coalesce("window", F.lit(""))))).alias("at_start"),
     )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+    per_doc = per_doc.join(items, same, "left").drop("_id", "_version")
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["length"] - 1)))
     rows = (F.col("count_rows") / F.col("at_start")).cast("int")
     return per_doc.select(
@@ -122,7 +127,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
         "version",
         "n_words",
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-        F.sort_array(F.array_distinct("items")).alias("items"),
+        F.sort_array(F.coalesce("items", F.array().cast("array<string>"))).alias("items"),
         "spans",
         F.explode(F.sequence(F.lit(1), rows)).alias("_copy"),
     ).drop("_copy")

@@ -104,6 +104,25 @@ def test_blocks_of_a_large_benchmark_and_no_benchmark(spark, odd, no_docs):
     assert decontaminate.contamination(no_docs, _benchmark(spark)).count() == 0
 
 
+def test_blocks_are_bounded_when_items_share_an_opening(spark, monkeypatch):
+    opening = "in the year of the great flood the old miller"
+    items = [(n, f"{opening} said number{n}") for n in range(60)]
+    docs = spark.createDataFrame([(n, f"x{n} {text}") for n, text in items[:3]] + [(9, opening)], "doc_id long, text string")
+    blocks = []
+
+    def scan(docs, windows, leads, whole=decontaminate._scan):
+        blocks.append((windows.count(), set(windows.columns)))
+        return whole(docs, windows, leads)
+
+    monkeypatch.setattr(decontaminate, "_scan", scan)
+    rows = decontaminate.contamination(docs, _benchmark(spark, items), block=20).collect()
+    everyone = sorted(str(n) for n, _ in items)
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in rows} == {n: (12, everyone) for n in range(3)} | {9: (10, everyone)}
+    # Two windows that all items share, and one of each item, all of these with the same first words.
+    assert sum(n for n, _ in blocks) == 62 and max(n for n, _ in blocks) < 40
+    assert all("items" not in columns and "item" not in columns for _, columns in blocks)
+
+
 def test_removal_of_documents_and_spans(spark, odd):
     bench = _benchmark(spark, ITEMS[:1])
     left = decontaminate.decontaminate(odd, bench)
