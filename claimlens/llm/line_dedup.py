@@ -1,10 +1,10 @@
 """Line deduplication: lines repeated across documents stay only in the last document that holds them.
 
 Lines become 128-bit keys; no text is shuffled to find the repeated ones.  Occurrences are range-partitioned by
-(key, document), so even a line that stands in every document is dealt over many tasks, and sorted by key, document
-and position inside a range.  Streaming over a range gives the documents of a key; ranges combine by key.  What must
-go comes back as a compressed bitmap per document (64 positions to a word, words without a bit are left out), which
-is applied to the text in the end.
+(key, document), so even a line that stands in every document is dealt over many tasks.  Inside a range a hash
+aggregate, in place of a secondary sort by document and position with a streaming pass, gives the documents of a key;
+ranges combine by key.  What must go comes back as a compressed bitmap per document (64 positions to a word, words
+without a bit are left out), a drop bitmap in place of a keep bitmap, which is applied to the text in the end.
 
 Defined results: null or empty text is one empty line; rows without ``doc_id`` keep every line and count for none;
 rows sharing an id are one document; repeated rows are treated alike; an empty table gives no rows.
@@ -39,7 +39,7 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, version, bits: word -> 64 positions, n_dropped) of every document that loses lines."""
     runs = stage(occurrences(docs, min_chars), "line-keys")
-    ranged = runs.repartitionByRange("key", F.desc("doc_id")).sortWithinPartitions("key", F.desc("doc_id"), "pos")
+    ranged = runs.repartitionByRange("key", F.desc("doc_id"))
     # A document's lines of one key share a range, so the first level needs no further exchange.
     first = ranged.groupBy("key", "doc_id").agg(F.count("*").alias("lines"))
     repeated = (
