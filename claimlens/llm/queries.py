@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, exact_dedup, jaccard_join, langid, licenses, line_dedup, main_text, packing, quality, toxicity
+from claimlens.llm import (
+    decontaminate,
+    exact_dedup,
+    graph_index,
+    hard_negatives,
+    jaccard_join,
+    langid,
+    licenses,
+    line_dedup,
+    main_text,
+    packing,
+    quality,
+    toxicity,
+    whitening,
+)
 from claimlens.llm.common import table
 
 
@@ -62,6 +76,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=shifted)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan,
@@ -74,5 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_quality,
         op10_jaccard_join,
+        op11_nearest_neighbours,
+        op12_hard_negatives,
+        op13_whitening,
     )
 }
