@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine expects; a cluster's own values win because they are only set where absent.
@@ -41,22 +44,42 @@ def stage_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="claimlens-"))
     return context.getCheckpointDir()
 
 
-_scopes: list[list[str]] = []
+# Tables staged inside the open blocks, innermost last.  A thread that a block starts has no open block.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staging", default=())
+_unscoped: list[str] = []  # staged outside any block: a result may read them until the program ends
 
 
-def new_stage_path(spark: SparkSession, name: str) -> str:
+def new_stage_path(spark: SparkSession, name: str, outlive: bool = False) -> str:
+    """A new folder for one table; with ``outlive`` it belongs to the block around the innermost one."""
     path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes.get()[:-1] if outlive else _scopes.get()
+    if not scopes and not _unscoped:
+        atexit.register(_remove_unscoped, spark)
+    (scopes[-1] if scopes else _unscoped).append(path)
     return path
 
 
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders in the shared folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
+def _remove_unscoped(spark: SparkSession) -> None:
+    try:
+        remove(spark, _unscoped)
+    except (Py4JError, OSError, AttributeError):  # the JVM has gone before the program
+        pass
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -75,14 +98,14 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Delete what was staged inside the block when it ends; for jobs whose results are written out."""
+    """Delete what this thread stages inside the block when it ends; for jobs whose results are written out.
+
+    Blocks may be nested; a table belongs to the innermost one.
+    """
     paths: list[str] = []
-    _scopes.append(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scopes.remove(paths)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+        _scopes.reset(token)
+        remove(spark, paths)

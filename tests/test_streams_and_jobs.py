@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from types import SimpleNamespace
 
 import pytest
@@ -193,6 +194,8 @@ def test_stage_folder_is_the_configured_one():
 
     assert stage_dir(session("spark://host", "hdfs://shared/dir/")) == "hdfs://shared/dir"
     assert stage_dir(session("local[2]", None, "/own")) == "/own"
+    with pytest.raises(RuntimeError):
+        stage_dir(session("local-cluster[2,1,1024]"))  # its executors have folders of their own
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         stage_dir(session("spark://host"))
 
@@ -203,3 +206,43 @@ def test_staging_removes_its_tables(spark):
         path = staged.inputFiles()[0]
         assert staged.count() == 5 and readers.path_exists(spark, path)
     assert not readers.path_exists(spark, path)
+
+
+def test_nested_staging(spark):
+    with staging(spark):
+        outer = new_stage_path(spark, "outer")
+        spark.range(3).write.parquet(outer)
+        with staging(spark):
+            inner, kept = new_stage_path(spark, "inner"), new_stage_path(spark, "kept", outlive=True)
+            for path in (inner, kept):
+                spark.range(3).write.parquet(path)
+        with staging(spark):
+            pass  # an empty block equals any other empty one
+        assert [readers.path_exists(spark, p) for p in (inner, outer, kept)] == [False, True, True]
+    assert not readers.path_exists(spark, outer) and not readers.path_exists(spark, kept)
+    after = new_stage_path(spark, "after")
+    spark.range(3).write.parquet(after)
+    assert readers.path_exists(spark, after)
+
+
+def test_staging_of_two_threads(spark):
+    """A block removes what its own thread staged, while another thread's tables stay."""
+    staged, opened, closed, paths = threading.Event(), threading.Event(), threading.Event(), {}
+
+    def other():
+        with staging(spark):
+            opened.wait(60)
+            paths["other"] = new_stage_path(spark, "other")
+            spark.range(3).write.parquet(paths["other"])
+            staged.set()
+            closed.wait(60)
+            paths["kept"] = readers.path_exists(spark, paths["other"])
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with staging(spark):
+        opened.set()
+        assert staged.wait(60)
+    closed.set()
+    thread.join(60)
+    assert paths["kept"] and not readers.path_exists(spark, paths["other"])
