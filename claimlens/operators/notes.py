@@ -73,10 +73,12 @@ def analyze_notes(notes: DataFrame) -> DataFrame:
 
 @dataclass
 class TextClassifier:
-    """Fitted classifier and its accuracy on the held-out rows."""
+    """Fitted classifier, its labels, its accuracy on the held-out rows and how many of their labels it never saw."""
 
     model: PipelineModel
     holdout_accuracy: float
+    labels: tuple[str, ...] = ()
+    unseen: int = 0
 
     def predict(self, texts: DataFrame) -> DataFrame:
         """Add ``predicted_label`` and ``confidence``: the largest probability to 4 digits."""
@@ -97,27 +99,31 @@ def train_text_classifier(
     max_iter: int = 50,
     seed: int = 42,
 ) -> TextClassifier:
-    """Multinomial logistic regression on TF-IDF of the words of whole texts."""
-    split = stratified_split(texts, label, key, test_fraction, seed) if stratified else plain_split(
-        texts, key, test_fraction, seed
+    """Multinomial logistic regression on TF-IDF of the words of whole texts.
+
+    Learns the labels of the training rows and predicts no other.  Rows without a label are neither learnt from nor
+    evaluated; a held-out row whose label training has not met counts as a miss and in ``unseen``.
+    """
+    labelled = texts.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("string"))
+    split = stratified_split(labelled, label, key, test_fraction, seed) if stratified else plain_split(
+        labelled, key, test_fraction, seed
     )
     split = stage(split, "text-split")  # every stage of the pipeline reads the texts once more
-    train = split.where("is_test = 0")
+    train, held_out = split.where("is_test = 0"), split.where("is_test = 1")
     indexer = StringIndexer(
-        inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(split.select(label))
+        inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="error"
+    ).fit(train.select(label))
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+"),
         CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_vocab),
         IDF(inputCol="_counts", outputCol="_tfidf"),
         LogisticRegression(featuresCol="_tfidf", labelCol="_label", family="multinomial", maxIter=max_iter, regParam=1e-4),
-        IndexToString(inputCol="prediction", outputCol="predicted_label", labels=[*indexer.labels, C.UNKNOWN_CATEGORY]),
+        IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels),
     ]
     fitted = Pipeline(stages=stages).fit(indexer.transform(train))
-    held_out = fitted.transform(split.where("is_test = 1"))
-    hit = (F.col("predicted_label") == F.col(label).cast("string")).cast("double")
-    accuracy = held_out.agg(F.avg(hit)).first()[0]
-    return TextClassifier(fitted, accuracy if accuracy is not None else float("nan"))
+    hit = (F.col("predicted_label") == F.col(label)).cast("double")
+    accuracy, unseen = fitted.transform(held_out).agg(F.avg(hit), F.count_if(~F.col(label).isin(list(indexer.labels)))).first()
+    return TextClassifier(fitted, accuracy if accuracy is not None else float("nan"), tuple(indexer.labels), unseen)
 
 
 def train_note_classifier(notes: DataFrame, **options) -> TextClassifier:

@@ -9,6 +9,7 @@ from claimlens import constants as C
 from claimlens.operators import claim_features, fraud, notes, recommend, transforms
 from claimlens.operators.claim_features import ClaimFeaturesModel
 from claimlens.operators.fraud_features import FraudFeaturesModel
+from claimlens.operators.ranking import plain_split
 from claimlens.plans import claim_models, fraud_models
 from claimlens.session import new_stage_path, stage
 
@@ -150,6 +151,21 @@ def test_note_classifier_learns_rules(spark):
     assert out.where("predicted_label = diagnosis_code").count() > 190
 
 
+def test_text_classifier_predicts_trained_labels_only(spark):
+    """More classes than texts can tell apart, a rare one, one that only held-out rows have, and rows without a label."""
+    rows = [(f"N{i}", f"common words all over visit {i % 13}", f"D{i % 9}" if i % 3 else f"D{i % 2}") for i in range(400)]
+    rows += [(f"X{i}", "", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "note_id string, clean_text string, diagnosis_code string")
+    split = plain_split(df.where("diagnosis_code IS NOT NULL"), "note_id").collect()
+    held_out = next(r["note_id"] for r in split if r["is_test"] == 1)
+    df = df.withColumn("diagnosis_code", F.when(F.col("note_id") == held_out, "ONLY HELD OUT").otherwise(F.col("diagnosis_code")))
+    classifier = notes.train_note_classifier(df)
+    trained = {r["diagnosis_code"] for r in split if r["is_test"] == 0}
+    assert set(classifier.labels) == trained and classifier.unseen == 1
+    predicted = {r["predicted_label"] for r in classifier.predict(df).collect()}
+    assert predicted <= trained and len(trained) == 7
+
+
 def test_hybrid_recommender(members, spark):
     recommender = recommend.HybridRecommender.fit(members)
     strangers = spark.createDataFrame([("NEW", 65, 30.0, 3, 12, 5000.0, 1000)],
