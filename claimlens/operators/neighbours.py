@@ -7,26 +7,33 @@ plane between two pivots tell which other cells can still hold something nearer.
 searched.  A cell's work is dealt out in units of bounded size, each unit returns ``k`` hits per query,
 and a ranked merge keeps the best ``k``.  Identical vectors are collapsed first: of any one vector only
 the ``k`` lowest keys can matter.
+
+``NeighbourIndex`` keeps the cells as a table, in folders of neighbouring cell numbers, with pivots, sizes and radii
+beside it.  It is fitted once and asked often: a question measures the queries against the pivots and reads only the
+folders whose cells it has to search; no point is assigned again.  Pivots are held in two levels, so that a vector's
+nearest pivot (an exact one) costs a look at the groups that can hold it, not at all pivots.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.vectors import dot
 from claimlens.operators.joins import skew_join
-from claimlens.session import stage
+from claimlens.session import new_stage_path, stage
 
 PAIRS = 1 << 21  # (vector, pivot) distances computed at once
 QUERY_UNIT = 2048  # queries per work unit
 POINT_UNIT = 16_384  # points per work unit
 BLOCK = 256  # query rows per distance matrix
+FOLDERS = 512  # folders of a stored index at most
 SLACK = 1e-6  # rounding of chord lengths
 FARTHEST = 2.0 + 1e-9  # no cosine distance is larger
 EDGE = 1e-12  # rounding of a distance computed twice
@@ -53,15 +60,51 @@ def _parts(batch: pd.DataFrame, pivots: int) -> Iterator[pd.DataFrame]:
         yield batch.iloc[start : start + step]
 
 
-def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+@dataclass(frozen=True)
+class _Pivots:
+    """Pivots and their groups: every pivot belongs to the nearest of about root(pivots) heads."""
+
+    centres: np.ndarray
+    heads: np.ndarray  # numbers of the pivots that head a group
+    group: np.ndarray  # each pivot's group
+    radius: np.ndarray  # each group's largest chord from head to pivot
+
+    @classmethod
+    def of(cls, centres: np.ndarray) -> _Pivots:
+        heads = np.arange(max(1, math.isqrt(len(centres))))
+        chords = np.vstack([_chords(centres[at : at + 4096], centres[heads]) for at in range(0, len(centres), 4096)])
+        group = chords.argmin(axis=1)
+        radius = np.zeros(len(heads))
+        np.maximum.at(radius, group, chords[np.arange(len(centres)), group])
+        return cls(centres, heads, group, radius)
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each vector's nearest pivot and the chord to it."""
+        to_head = _chords(vectors, self.centres[self.heads])
+        own = to_head.argmin(axis=1)
+        cell, reach = np.zeros(len(vectors), np.int64), np.full(len(vectors), np.inf)
+        members = [np.flatnonzero(self.group == g) for g in range(len(self.heads))]
+        for first in (True, False):
+            for g, pivots in enumerate(members):
+                rows = own == g if first else (own != g) & (to_head[:, g] - self.radius[g] <= reach + SLACK)
+                rows = np.flatnonzero(rows)
+                if len(rows):
+                    chords = _chords(vectors[rows], self.centres[pivots])
+                    best = chords.argmin(axis=1)
+                    chord = chords[np.arange(len(rows)), best]
+                    nearer = chord < reach[rows]
+                    cell[rows[nearer]], reach[rows[nearer]] = pivots[best[nearer]], chord[nearer]
+        return cell, reach
+
+
+def _assign(df: DataFrame, pivots: _Pivots) -> DataFrame:
     """Add each vector's nearest pivot and the chord to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in _parts(batch, len(pivots)):
-                chords = _chords(_matrix(part["vec"]), pivots)
-                cell = chords.argmin(axis=1)
-                yield part.assign(cell=cell.astype("int32"), reach=chords[np.arange(len(cell)), cell])
+            for part in _parts(batch, len(pivots.centres)):
+                cell, reach = pivots.nearest(_matrix(part["vec"]))
+                yield part.assign(cell=cell.astype("int32"), reach=reach)
 
     schema = ", ".join(f"{n} {t}" for n, t in df.dtypes) + ", cell int, reach double"
     return df.mapInPandas(run, schema)
@@ -131,14 +174,11 @@ def _nearest_in_unit(k: int):
     return run
 
 
-def _search(asked: DataFrame, points: DataFrame, n_points: np.ndarray, k: int) -> DataFrame:
+def _search(asked: DataFrame, points: DataFrame, n_points: np.ndarray, n_queries: np.ndarray, k: int) -> DataFrame:
     """Best ``k`` hits of each (query, cell) in ``asked`` among the cell's points, up to its ``limit``.
 
     Both sides are dealt into parts of bounded size; every (query part, point part) pair is one unit.
     """
-    n_queries = np.zeros(len(n_points), dtype=int)
-    for row in asked.groupBy("cell").agg(F.count("*").alias("n")).collect():
-        n_queries[row["cell"]] = row["n"]
     cell = F.col("cell")
     query_parts = _per_cell(np.maximum(1, -(-n_queries // QUERY_UNIT)), cell)
     point_parts = _per_cell(np.maximum(1, -(-n_points // POINT_UNIT)), cell)
@@ -169,53 +209,110 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
     return ranked.groupBy("vec").agg(F.array_sort(F.collect_list("hit")).alias("neighbours"))
 
 
+@dataclass
+class NeighbourIndex:
+    """Points in cells, kept under ``path``: ``cells`` (by folder), ``pivots`` and ``lowest``."""
+
+    spark: SparkSession
+    path: str
+    k: int  # keys kept of one vector: the largest number of neighbours that can be asked for
+    pivots: _Pivots | None
+    n_points: np.ndarray
+    radius: np.ndarray
+
+    @classmethod
+    def build(cls, points: DataFrame, k: int, path: str | None = None, pivots: int | None = None) -> NeighbourIndex:
+        """Index ``points`` (``key``, ``payload`` string, ``vec`` of length 1 or 0) under ``path``, by default a staged folder."""
+        spark = points.sparkSession
+        path = path or new_stage_path(spark, "neighbour-index")
+        lowest = Window.partitionBy("vec").orderBy("key")
+        points = points.select("key", "payload", "vec").withColumn("_rn", F.row_number().over(lowest))
+        points = stage(points.where(F.col("_rn") <= k).drop("_rn"), "points")
+        zero = F.forall("vec", lambda x: x == 0)
+        distinct = points.where(~zero).select("vec").distinct()
+        if pivots is None:
+            pivots = max(1, math.isqrt(distinct.count()))  # as many cells as points in a cell
+        drawn = distinct.orderBy(F.xxhash64("vec"), "vec").limit(pivots).collect()
+        # a zero vector is at distance 1 from everything: its neighbours are the lowest keys of all
+        points.orderBy("key").limit(k).write.mode("overwrite").parquet(f"{path}/lowest")
+        points.where(zero).write.mode("overwrite").parquet(f"{path}/zero")
+        held = _Pivots.of(np.array([row["vec"] for row in drawn])) if drawn else None
+        per_folder = max(1, -(-len(drawn) // FOLDERS))
+        if held is not None:
+            cells = _assign(points.where(~zero), held).withColumn("folder", (F.col("cell") / per_folder).cast("int"))
+            # a folder's rows may be many: they are dealt out over its cells and sorted for the scan to skip the others
+            cells.repartition("folder", "cell").sortWithinPartitions("folder", "cell").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/cells")
+            found = spark.read.parquet(f"{path}/cells").groupBy("cell").agg(F.max("reach").alias("r"), F.count("*").alias("n"))
+            sizes = {row["cell"]: (row["n"], row["r"]) for row in found.collect()}
+        rows = [(i, [float(x) for x in row["vec"]], *map(float, sizes.get(i, (0, -1.0)))) for i, row in enumerate(drawn)]
+        spark.createDataFrame(rows, "cell int, vec array<double>, n double, radius double").write.mode("overwrite").parquet(f"{path}/pivots")
+        spark.createDataFrame([(k, per_folder)], "k int, per_folder int").write.mode("overwrite").parquet(f"{path}/settings")
+        return cls.load(spark, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> NeighbourIndex:
+        rows = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()
+        held = _Pivots.of(np.array([row["vec"] for row in rows])) if rows else None
+        k = spark.read.parquet(f"{path}/settings").first()["k"]
+        return cls(spark, path, k, held, np.array([int(r["n"]) for r in rows], int), np.array([r["radius"] for r in rows]))
+
+    def copy_to(self, path: str) -> None:
+        """Copy the index's tables to another folder, as they are."""
+        for table in ("pivots", "lowest", "zero", "settings"):
+            self.spark.read.parquet(f"{self.path}/{table}").write.mode("overwrite").parquet(f"{path}/{table}")
+        if self.pivots is not None:
+            cells = self.spark.read.parquet(f"{self.path}/cells").repartition("folder", "cell")
+            cells.sortWithinPartitions("folder", "cell").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/cells")
+
+    def _cells(self, asked: np.ndarray) -> DataFrame:
+        """Points of the folders that hold a cell with queries."""
+        per_folder = self.spark.read.parquet(f"{self.path}/settings").first()["per_folder"]
+        folders = sorted({int(cell) // per_folder for cell in np.flatnonzero(asked)})
+        points = self.spark.read.parquet(f"{self.path}/cells").where(F.col("folder").isin(folders))
+        return points.drop("folder", "reach")
+
+    def nearest(self, queries: DataFrame, k: int) -> DataFrame:
+        """One row per distinct query ``vec`` with ``neighbours``, (distance, key, payload) by distance, then key."""
+        if k > self.k:
+            raise ValueError(f"the index was built for {self.k} neighbours at most")
+        asked = stage(queries.select("vec").distinct(), "asked")
+        zero = F.forall("vec", lambda x: x == 0)
+        lowest = self.spark.read.parquet(f"{self.path}/lowest").orderBy("key").limit(k)
+        lowest_keys = lowest.select(F.lit(1.0).alias("distance"), "key", "payload")
+        of_zero = lowest_keys.agg(F.array_sort(F.collect_list(F.struct("distance", "key", "payload")))).scalar()
+        if self.pivots is None:
+            # only zero points exist, and every query is at distance 1 from them
+            return asked.withColumn("neighbours", of_zero)
+        found = asked.where(zero).withColumn("neighbours", of_zero)
+        centres = self.pivots.centres
+        at_home = stage(_assign(asked.where(~zero), self.pivots).drop("reach").withColumn("limit", F.lit(FARTHEST)), "at-home")
+        # the one zero vector a table can hold joins every cell, where the first search meets it
+        every_cell = F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1)))
+        zeros = self.spark.read.parquet(f"{self.path}/zero").withColumn("cell", every_cell)
+        first = _best(self._search(at_home, k, zeros), k)
+        if len(centres) == 1:
+            return first.unionByName(found)
+        kth = F.try_element_at("neighbours", F.lit(k))["distance"] + EDGE
+        searched = at_home.drop("limit").join(first, "vec", "left")
+        searched = stage(searched.withColumn("limit", F.least(F.coalesce(kth, F.lit(FARTHEST)), F.lit(FARTHEST))), "searched")
+        further = stage(_other_cells(searched, centres, self.radius), "further")
+        hits = searched.select("vec", F.explode("neighbours").alias("hit")).unionByName(self._search(further, k))
+        return _best(hits, k).unionByName(found)
+
+    def _search(self, asked: DataFrame, k: int, more: DataFrame | None = None) -> DataFrame:
+        n_queries = np.zeros(len(self.n_points), dtype=int)
+        for row in asked.groupBy("cell").agg(F.count("*").alias("n")).collect():
+            n_queries[row["cell"]] = row["n"]
+        points = self._cells(n_queries)
+        return _search(asked, points if more is None else points.unionByName(more), self.n_points, n_queries, k)
+
+
 def nearest_vectors(queries: DataFrame, points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
-    """Neighbours of every distinct query vector.
+    """Neighbours of every distinct query vector, from an index of ``points`` made for this call.
 
     ``queries``: ``vec``; ``points``: ``key``, ``payload`` (string), ``vec``; vectors of length 1 or 0.
-    Returns one row per distinct query ``vec`` with ``neighbours``, an array of
-    (distance, key, payload) ordered by distance, then key.
     """
-    lowest = Window.partitionBy("vec").orderBy("key")
-    points = points.select("key", "payload", "vec").withColumn("_rn", F.row_number().over(lowest))
-    points = stage(points.where(F.col("_rn") <= k).drop("_rn"), "points")
-    asked = stage(queries.select("vec").distinct(), "asked")
-    zero = F.forall("vec", lambda x: x == 0)
-    solid, distinct = points.where(~zero), points.where(~zero).select("vec").distinct()
-    if pivots is None:
-        pivots = max(1, math.isqrt(distinct.count()))  # as many cells as points in a cell
-    drawn = distinct.orderBy(F.xxhash64("vec"), "vec").limit(pivots).collect()
-
-    # a zero vector is at distance 1 from everything: its neighbours are the lowest keys of all
-    lowest_keys = points.orderBy("key").limit(k).select(F.lit(1.0).alias("distance"), "key", "payload")
-    of_zero = lowest_keys.agg(F.array_sort(F.collect_list(F.struct("distance", "key", "payload")))).scalar()
-    found = asked.where(zero).withColumn("neighbours", of_zero)
-    if not drawn:
-        # only zero points exist, and every query is at distance 1 from them
-        return asked.withColumn("neighbours", of_zero)
-    centres = np.array([row["vec"] for row in drawn])
-    cells = _assign(solid, centres)
-    if len(centres) > 1:
-        cells = stage(cells, "cells")
-    n_points, radius = np.zeros(len(centres), dtype=int), np.full(len(centres), -1.0)
-    for row in cells.groupBy("cell").agg(F.max("reach").alias("r"), F.count("*").alias("n")).collect():
-        n_points[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
-    # the one zero vector a table can hold joins every cell, where the first search meets it
-    every_cell = F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1)))
-    targets = cells.drop("reach").unionByName(points.where(zero).withColumn("cell", every_cell))
-    at_home = _assign(asked.where(~zero), centres).drop("reach").withColumn("limit", F.lit(FARTHEST))
-    first = _best(_search(at_home, targets, n_points, k), k)
-    if len(centres) == 1:
-        return first.unionByName(found)
-
-    kth = F.try_element_at("neighbours", F.lit(k))["distance"] + EDGE
-    searched = at_home.drop("limit").join(first, "vec", "left")
-    searched = stage(searched.withColumn("limit", F.least(F.coalesce(kth, F.lit(FARTHEST)), F.lit(FARTHEST))), "searched")
-    further = stage(_other_cells(searched, centres, radius), "further")
-    hits = searched.select("vec", F.explode("neighbours").alias("hit")).unionByName(
-        _search(further, cells.drop("reach"), n_points, k)
-    )
-    return _best(hits, k).unionByName(found)
+    return NeighbourIndex.build(points, k, pivots=pivots).nearest(queries, k)
 
 
 def knn_join(

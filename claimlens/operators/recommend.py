@@ -13,7 +13,7 @@ from claimlens import constants as C
 from claimlens.functions.text import plan_explanation
 from claimlens.operators import reports
 from claimlens.operators.joins import skew_join
-from claimlens.operators.neighbours import nearest_vectors
+from claimlens.operators.neighbours import NeighbourIndex
 from claimlens.operators.transforms import ZScaler, ZScalerModel
 from claimlens.session import stage
 
@@ -161,18 +161,22 @@ def fit_profile_scaler(members: DataFrame) -> ZScalerModel:
     return ZScaler(columns=columns).fit(filled)
 
 
+def profile_index(members: DataFrame, scaler: ZScalerModel, k: int = 10, path: str | None = None) -> NeighbourIndex:
+    """Stored index of the members' profiles that answers up to ``k`` neighbours beside the nearest one."""
+    plan = F.coalesce("plan_type", F.lit(C.DEFAULT_PLAN)) if "plan_type" in members.columns else F.lit(C.DEFAULT_PLAN)
+    known = profile_vectors(members.withColumn("payload", plan), scaler, "payload").withColumnRenamed("member_id", "key")
+    return NeighbourIndex.build(known, k + 1, path)
+
+
 def knn_ranking(
-    profiles: DataFrame, members: DataFrame, scaler: ZScalerModel, k: int = 10, n: int = 3, skip_first: bool = True
+    profiles: DataFrame, index: NeighbourIndex, scaler: ZScalerModel, k: int = 10, n: int = 3, skip_first: bool = True
 ) -> DataFrame:
     """(member_id, ranking): plans of the ``k`` nearest members, weighted by inverse distance.
 
     ``skip_first`` drops the nearest member as the profile itself, known or not.
     """
-    plan = F.coalesce("plan_type", F.lit(C.DEFAULT_PLAN)) if "plan_type" in members.columns else F.lit(C.DEFAULT_PLAN)
-    known = profile_vectors(members.withColumn("payload", plan), scaler, "payload").withColumnRenamed("member_id", "key")
     asked = profile_vectors(profiles, scaler)
-    size = k + 1 if skip_first else k
-    found = nearest_vectors(asked, known, size)
+    found = index.nearest(asked, k + 1 if skip_first else k)
     hits = found.select(
         "vec", F.explode(F.slice("neighbours", 2, k) if skip_first else F.col("neighbours")).alias("hit")
     )
@@ -185,7 +189,8 @@ def knn_ranking(
 
 
 def recommend_knn(profiles: DataFrame, members: DataFrame, k: int = 10, n: int = 3) -> DataFrame:
-    return _unfold(knn_ranking(profiles, members, fit_profile_scaler(members), k, n))
+    scaler = fit_profile_scaler(members)
+    return _unfold(knn_ranking(profiles, profile_index(members, scaler, k), scaler, k, n))
 
 
 # --- hybrid -------------------------------------------------------------------------------------
@@ -211,10 +216,14 @@ def recommend_fallback(profiles: DataFrame) -> DataFrame:
 
 @dataclass
 class HybridRecommender:
-    """Fitted hybrid: .40 collaborative + .35 neighbours + .25 content over each list's best four."""
+    """Fitted hybrid: .40 collaborative + .35 neighbours + .25 content over each list's best four.
+
+    The neighbours come from a stored index, made once by ``fit`` and read by every question.
+    """
 
     collab: CollaborativeModel
     scaler: ZScalerModel
+    index: NeighbourIndex
     members: DataFrame
     interactions: DataFrame
     k: int = 10
@@ -222,7 +231,8 @@ class HybridRecommender:
     @classmethod
     def fit(cls, members: DataFrame, interactions: DataFrame | None = None, k: int = 10) -> HybridRecommender:
         rated = reports.interactions(members) if interactions is None else interactions
-        return cls(fit_collab(rated), fit_profile_scaler(members), members, rated, k)
+        scaler = fit_profile_scaler(members)
+        return cls(fit_collab(rated), scaler, profile_index(members, scaler, k), members, rated, k)
 
     def recommend(self, profiles: DataFrame, n: int = 3, digits: int | None = 4) -> DataFrame:
         """(member, plan, score, rank) for every request; members without ratings get the rule plans."""
@@ -237,12 +247,14 @@ class HybridRecommender:
         members = asked.select("request_id", F.col("member_id").alias("_member"))
         # The lists below are kept by request: its id takes the member's place.
         asked = asked.withColumns({"_member": F.col("member_id"), "member_id": F.col("request_id")}).drop("request_id")
-        ranked = self.collab.scores(self.interactions).withColumn("ranking", F.slice("ranking", 1, 4))
+        # only the askers' ratings are scored
+        own = self.interactions.join(asked.select(F.col("_member").alias("member_id")), "member_id", "left_semi")
+        ranked = self.collab.scores(own).withColumn("ranking", F.slice("ranking", 1, 4))
         ranked = ranked.withColumnRenamed("member_id", "_member")
         rated = asked.join(ranked.select("_member"), "_member", "left_semi")
         lists = {
             "collab": _unfold(ranked.join(asked.select("_member", "member_id"), "_member"), None),
-            "knn": _unfold(knn_ranking(rated, self.members, self.scaler, self.k, 4)),
+            "knn": _unfold(knn_ranking(rated, self.index, self.scaler, self.k, 4)),
             "content": _unfold(content_ranking(rated, 4)),
         }
         parts = [
@@ -263,6 +275,7 @@ class HybridRecommender:
         self.scaler.write().overwrite().save(f"{path}/scaler")
         self.members.write.mode("overwrite").parquet(f"{path}/members")
         self.interactions.write.mode("overwrite").parquet(f"{path}/interactions")
+        self.index.copy_to(f"{path}/neighbours")
         spark = self.members.sparkSession
         rows = [(i, plan, [float(x) for x in self.collab.projection[i]]) for i, plan in enumerate(self.collab.plans)]
         factors = spark.createDataFrame(rows, "position int, plan string, weights array<double>")
@@ -275,6 +288,7 @@ class HybridRecommender:
         return cls(
             collab,
             ZScalerModel.load(f"{path}/scaler"),
+            NeighbourIndex.load(spark, f"{path}/neighbours"),
             spark.read.parquet(f"{path}/members"),
             spark.read.parquet(f"{path}/interactions"),
             k,

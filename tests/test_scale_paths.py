@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from claimlens.session import new_stage_path
 from claimlens.operators import fraud_features, joins, neighbours, quantiles, ranking
 from claimlens.operators.recommend import fit_collab, recommend_collab
 
@@ -154,6 +155,53 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, pivots):
         assert row["n"] == [n for n, _ in expected]
 
 
+def test_stored_index_is_asked_without_assigning_points_again(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    cloud = np.repeat(np.eye(6) * 4, 50, axis=0) + 0.1 * rng.normal(size=(300, 6))
+    rows = [(f"p{i:03d}", None, [float(x) for x in v / np.linalg.norm(v)]) for i, v in enumerate(cloud)] + [("z", None, [0.0] * 6)]
+    points = spark.createDataFrame(rows, "key string, payload string, vec array<double>")
+    path = new_stage_path(spark, "index")
+    monkeypatch.setattr(neighbours, "FOLDERS", 8)
+    neighbours.NeighbourIndex.build(points, 5, path)
+    assigned, read = [], []
+
+    def assign(df, pivots, whole=neighbours._assign):
+        assigned.append(df.count())
+        return whole(df, pivots)
+
+    def cells(index, asked, whole=neighbours.NeighbourIndex._cells):
+        read.append((whole(index, asked), asked))
+        return read[-1][0]
+
+    monkeypatch.setattr(neighbours, "_assign", assign)
+    monkeypatch.setattr(neighbours.NeighbourIndex, "_cells", cells)
+    index = neighbours.NeighbourIndex.load(spark, path)
+    near = points.where("key IN ('p003', 'p007', 'z')")
+    got = {r["key"]: [n["key"] for n in r["neighbours"]] for r in near.join(index.nearest(near, 5), "vec").collect()}
+    want = brute_force({k: np.array(v) for k, _, v in rows if k in got}, {k: np.array(v) for k, _, v in rows}, 5)
+    assert got == {k: [n for n, _ in hits] for k, hits in want.items()}
+    assert assigned == [2]  # the queries that are not zero; no point
+    whole = spark.read.parquet(f"{path}/cells")
+    for df, asked in read:
+        touched = df.select(F.input_file_name().alias("f")).distinct().count()
+        assert 0 < touched < whole.select(F.input_file_name().alias("f")).distinct().count()
+        assert df.count() < whole.count()
+    index.copy_to(f"{path}-copy")
+    again = neighbours.NeighbourIndex.load(spark, f"{path}-copy").nearest(near, 5)
+    assert sorted(map(str, again.collect())) == sorted(map(str, index.nearest(near, 5).collect()))
+    with pytest.raises(ValueError):
+        index.nearest(near, 6)
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 300])
+def test_nearest_pivot_of_two_levels(n):
+    rng = np.random.default_rng(n)
+    pivots, vectors = (x / np.linalg.norm(x, axis=1)[:, None] for x in (rng.normal(size=(n, 4)), rng.normal(size=(500, 4))))
+    cell, reach = neighbours._Pivots.of(pivots).nearest(vectors)
+    chords = neighbours._chords(vectors, pivots)
+    assert np.allclose(reach, chords.min(axis=1)) and np.allclose(chords[np.arange(500), cell], reach)
+
+
 def test_knn_join_keeps_every_query(spark):
     rows = [(f"m{i:02d}", [1.0, float(i // 2), 2.0]) for i in range(20)]
     df = spark.createDataFrame(rows, "id string, v array<double>")

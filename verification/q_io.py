@@ -517,11 +517,12 @@ def streamed_fraud_scores(spark, base):
     )
 )
 def streamed_recommendations(spark, base):
-    """Plan requests through the hybrid; requests without bmi go to quarantine."""
-    source, out, checkpoint = (new_stage_path(spark, n) for n in ("plan-requests", "plans", "plan-checkpoint"))
+    """Plan requests through a saved hybrid and its neighbour index; requests without bmi go to quarantine."""
+    source, out, checkpoint, saved = (new_stage_path(spark, n) for n in ("plan-requests", "plans", "plan-checkpoint", "hybrid"))
     writers.append_documents(fx.plan_requests(spark, base), source)
     requests = spark.readStream.schema(schemas.PLAN_REQUEST).json(source)
-    recommender = recommend.HybridRecommender.fit(stage(fx.members(spark, base), "members"))
+    recommend.HybridRecommender.fit(stage(fx.members(spark, base), "members")).save_to(saved)
+    recommender = recommend.HybridRecommender.load_from(spark, saved)
     scoring.stream_recommendations(requests, recommender, out, checkpoint).awaitTermination()
     plans = spark.read.parquet(f"{out}/recommended")
     rounded_score = lambda r: F.round(r["score"] + ROUND_OFFSET, 4)
