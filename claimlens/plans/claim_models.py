@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
+from claimlens.operators import boosting
 from claimlens.operators import evaluation as E
+from claimlens.operators.boosting import Booster, Growth
 from claimlens.operators.claim_features import FEATURES
 from claimlens.operators.ranking import stratified_folds, stratified_split
 from claimlens.session import sized, stage
@@ -25,9 +27,16 @@ FAMILIES = {
     "logistic": (1000, None, None, "balanced"),
     "rf": (200, 10, None, "balanced"),
     "gbm": (200, 5, 0.05, None),
-    "xgboost": (300, 6, 0.05, 3.0),
-    "lightgbm": (300, 6, 0.05, "balanced"),
 }
+# Second-order boosting, level by level and best leaf first
+BOOSTERS = {
+    "xgboost": Growth(rounds=300, step=0.05, policy="depth", max_depth=6, l2=1.0, min_hessian=1.0, positive_weight=3.0),
+    "lightgbm": Growth(
+        rounds=300, step=0.05, policy="loss", max_depth=None, max_leaves=63, l2=0.0, min_hessian=1e-3, min_rows=20,
+        positive_weight=None,
+    ),
+}
+ALL_FAMILIES = (*FAMILIES, *BOOSTERS)
 
 
 def classifier(family: str, label: str, n_rows: int, rounds: int | None = None, seed: int = 42):
@@ -102,27 +111,79 @@ def train_claim(
     seed: int = 42,
 ) -> ClaimModel:
     """Fit on 80% of every class and evaluate on the rest; ``folds`` adds a cross-validated AUC."""
-    split = stage(stratified_split(features, label, key, 0.2, seed), "split")
+    split = _split(features, label, key, folds, seed)
+    return _train(split, [family], label, columns, {family: rounds}, folds, seed)[family]
+
+
+def _split(features: DataFrame, label: str, key: str, folds: int, seed: int) -> DataFrame:
+    """Staged features with ``is_test`` and, if asked for, ``fold``: every model of a run reads this one table."""
+    split = stratified_split(features, label, key, 0.2, seed)
+    return stage(stratified_folds(split, label, key, folds, seed) if folds else split, "split")
+
+
+def _train(
+    split: DataFrame, families: Sequence[str], label: str, columns: Sequence[str], rounds: Mapping[str, int | None], folds: int, seed: int
+) -> dict[str, ClaimModel]:
+    """Every family on the same rows.  All boosters and all their folds grow side by side on one binned matrix."""
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
     n_train = train.count()
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    pipeline = Pipeline(stages=[assembler, classifier(family, label, n_train, rounds, seed)])
-    model = ClaimModel(family, pipeline.fit(sized(_weighted(train, family, label), n_train)))
-    scored = model.predict(test).select(F.col(label).alias("label"), "probability", "prediction").persist()
-    metrics = {
-        "model": family,
-        "auc_roc": E.roc_auc(scored, "label", "probability").first()["auc"],
-        "report": [row.asDict() for row in E.classification_report(scored).collect()],
-        "confusion": [row.asDict() for row in E.confusion(scored).collect()],
-        "training_rows": n_train,
-    }
-    scored.unpersist()
-    if folds:
-        metrics["cv_auc_mean"], metrics["cv_auc_std"] = cross_validate(
-            features, family, label, key, columns, rounds, folds, seed
-        )
-    model.metrics = metrics
-    return model
+    boosters = _boosted(split, [f for f in families if f in BOOSTERS], label, columns, rounds, folds)
+    models = {}
+    for family in families:
+        if family in BOOSTERS:
+            fitted = PipelineModel([boosters[family, None].model(label)])
+        else:
+            assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
+            pipeline = Pipeline(stages=[assembler, classifier(family, label, n_train, rounds.get(family), seed)])
+            fitted = pipeline.fit(sized(_weighted(train, family, label), n_train))
+        model = ClaimModel(family, fitted)
+        scored = model.predict(test).select(F.col(label).alias("label"), "probability", "prediction").persist()
+        model.metrics = {
+            "model": family,
+            "auc_roc": E.roc_auc(scored, "label", "probability").first()["auc"],
+            "report": [row.asDict() for row in E.classification_report(scored).collect()],
+            "confusion": [row.asDict() for row in E.confusion(scored).collect()],
+            "training_rows": n_train,
+        }
+        scored.unpersist()
+        if folds:
+            if family in BOOSTERS:
+                mean, deviation = _fold_auc(split, [boosters[family, fold] for fold in range(folds)], label)
+            else:
+                mean, deviation = _validated(split, family, label, columns, rounds.get(family), folds, seed)
+            model.metrics["cv_auc_mean"], model.metrics["cv_auc_std"] = mean, deviation
+        models[family] = model
+    return models
+
+
+def _boosted(
+    split: DataFrame, families: Sequence[str], label: str, columns: Sequence[str], rounds: Mapping[str, int | None], folds: int,
+    whole: bool = True,
+) -> dict[tuple[str, int | None], Booster]:
+    """(family, fold left out) -> booster; fold None is the model of the training rows, left out if not ``whole``."""
+    wanted = {}
+    for family in families:
+        rules = replace(BOOSTERS[family], rounds=rounds.get(family) or BOOSTERS[family].rounds)
+        if whole:
+            wanted[family, None] = replace(rules, left_out=("is_test", 1))
+        wanted |= {(family, fold): replace(rules, left_out=("fold", fold)) for fold in range(folds)}
+    if not wanted:
+        return {}
+    return dict(zip(wanted, boosting.train(boosting.bin_matrix(split, columns, label), list(wanted.values()))))
+
+
+def _auc_evaluator(label: str) -> BinaryClassificationEvaluator:
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
+
+
+def _fold_auc(folded: DataFrame, boosters: Sequence[Booster], label: str) -> tuple[float, float]:
+    """Mean and population deviation of the AUC of each fold under the booster that has not seen it."""
+    aucs = []
+    for fold, booster in enumerate(boosters):
+        scored = booster.model(label).transform(folded.where(F.col("fold") == fold)).select(label, "probability")
+        aucs.append(_auc_evaluator(label).evaluate(scored))
+    mean = sum(aucs) / len(aucs)
+    return mean, (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5
 
 
 def cross_validate(
@@ -137,13 +198,22 @@ def cross_validate(
 ) -> tuple[float, float]:
     """Mean and population deviation of the AUC over stratified folds."""
     folded = stage(stratified_folds(features, label, key, folds, seed), "folds")
+    if family in BOOSTERS:
+        boosters = _boosted(folded, [family], label, columns, {family: rounds}, folds, whole=False)
+        return _fold_auc(folded, [boosters[family, fold] for fold in range(folds)], label)
+    return _validated(folded, family, label, columns, rounds, folds, seed)
+
+
+def _validated(
+    folded: DataFrame, family: str, label: str, columns: Sequence[str], rounds: int | None, folds: int, seed: int
+) -> tuple[float, float]:
+    """The same for Spark's own classifiers; the folds are fitted at the same time."""
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     n_rows = int(folded.count() * (folds - 1) / folds)
     folded = sized(folded, n_rows)
-    estimator = classifier(family, label, n_rows, rounds, seed)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds, foldCol="fold"
+        estimator=classifier(family, label, n_rows, rounds, seed), estimatorParamMaps=[{}],
+        evaluator=_auc_evaluator(label), numFolds=folds, foldCol="fold", parallelism=folds,
     )
     fitted = validator.fit(assembler.transform(_weighted(folded, family, label)))
     return fitted.avgMetrics[0], fitted.stdMetrics[0]
@@ -154,10 +224,13 @@ def train_all(
     families: Sequence[str] = ("logistic", "rf", "xgboost", "lightgbm"),
     rounds: Mapping[str, int] | None = None,
     folds: int = 0,
+    label: str = "claim_approved",
+    key: str = "claim_id",
+    seed: int = 42,
 ) -> tuple[dict[str, ClaimModel], DataFrame]:
     """Every family on the same rows, and their metrics in training order."""
-    rounds = rounds or {}
-    models = {f: train_claim(features, f, rounds=rounds.get(f), folds=folds) for f in families}
+    split = _split(features, label, key, folds, seed)
+    models = _train(split, families, label, FEATURES, rounds or {}, folds, seed)
     aucs = {f: m.metrics["auc_roc"] for f, m in models.items()}
     return models, E.metrics_frame(features.sparkSession, aucs)
 

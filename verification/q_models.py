@@ -10,7 +10,7 @@ from claimlens import constants as C
 from claimlens import fixtures as fx
 from claimlens.functions import scalars as S
 from claimlens.functions.text import plan_explanation
-from claimlens.operators import claim_features, columns, evaluation, fraud, fraud_features, joins, neighbours, ranking
+from claimlens.operators import boosting, claim_features, columns, evaluation, fraud, fraud_features, joins, neighbours, ranking
 from claimlens.operators import recommend as R
 from claimlens.operators import reports
 from claimlens.plans import claim_models, fraud_models
@@ -326,7 +326,7 @@ def _trained(family: str):
     return run
 
 
-for _family in claim_models.FAMILIES:
+for _family in claim_models.ALL_FAMILIES:
     query(v.with_views(f"SELECT {RISK_FACTS}, true AS auc_ok FROM claims", v.CLAIMS))(_trained(_family))
 
 
@@ -384,6 +384,84 @@ def lake_model_predictions(spark, base):
     )
 
 
+# --- boosted trees node by node ------------------------------------------------------------------
+
+_TREE_COLUMNS = ("num_procedures", "days_in_hospital", "prior_auth", "amount_class")
+_TREE_ROWS = f"""tree_rows AS (SELECT claim_id, CAST(is_fraud AS DOUBLE) AS y,
+ [{", ".join(f"CAST({c} AS DOUBLE)" for c in _TREE_COLUMNS)}] AS x
+ FROM (SELECT *, CAST(floor(claim_amount / 20000) AS INT) AS amount_class FROM claims))"""
+
+
+def _best_split(name: str, rows: str, l2: float, least_h: float, least_n: int) -> str:
+    """CTE ``name``: the split of ``rows`` (x, g, h) with the largest gain, and the sums on its sides."""
+    return f"""{name} AS (SELECT *, gl * gl / (hl + {l2}) + gr * gr / (hr + {l2}) - g * g / (h + {l2}) AS gain FROM (
+  SELECT *, g - gl AS gr, h - hl AS hr, n - nl AS nr FROM (
+   SELECT f, t, SUM(cg) OVER below AS gl, SUM(ch) OVER below AS hl, SUM(cn) OVER below AS nl,
+     SUM(cg) OVER (PARTITION BY f) AS g, SUM(ch) OVER (PARTITION BY f) AS h, SUM(cn) OVER (PARTITION BY f) AS n
+   FROM (SELECT f, x[f] AS t, SUM(g) AS cg, SUM(h) AS ch, COUNT(*) AS cn FROM {rows}, (SELECT unnest([1, 2, 3, 4]) AS f) GROUP BY 1, 2)
+   WINDOW below AS (PARTITION BY f ORDER BY t)))
+  WHERE least(hl, hr) >= {least_h} AND least(nl, nr) >= {least_n} ORDER BY gain DESC, f, t LIMIT 1)"""
+
+
+def _node(model: str, tree: str, depth: str, value: str, g: str, h: str, n: str, f: str = "NULL", t: str = "NULL") -> str:
+    names = f"CASE {f} " + " ".join(f"WHEN {i + 1} THEN '{c}'" for i, c in enumerate(_TREE_COLUMNS)) + " END"
+    return f"'{model}' AS model, {tree} AS tree, {depth} AS depth, {names} AS feature, RND(CAST({t} AS DOUBLE), 4) AS threshold, RND({value}, 4) AS value, RND({g}, 4) AS gradient, RND({h}, 4) AS hessian, CAST({n} AS BIGINT) AS n_rows"
+
+
+_STUMPS = [
+    "s0 AS (SELECT x, y, w, w * (0.5::DOUBLE - y) AS g, w * 0.25::DOUBLE AS h FROM (SELECT *, CASE WHEN y = 1 THEN 19.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM tree_rows))",
+    _best_split("b0", "s0", 1.0, 1.0, 1),
+    """s1 AS (SELECT x, w * (p - y) AS g, w * p * (1 - p) AS h FROM (SELECT s0.*, 1 / (1 + exp(-0.3::DOUBLE * CASE WHEN s0.x[b0.f] <= b0.t
+      THEN -gl / (hl + 1) ELSE -gr / (hr + 1) END)) AS p FROM s0, b0))""",
+    _best_split("b1", "s1", 1.0, 1.0, 1),
+]
+_BEST_FIRST = [
+    """c0 AS (SELECT x, w * (0.5::DOUBLE - y) AS g, w * 0.25::DOUBLE AS h FROM (SELECT *, (SELECT COUNT(*) FROM tree_rows) / (2.0::DOUBLE * COUNT(*) OVER (PARTITION BY y)) AS w FROM tree_rows))""",
+    _best_split("r0", "c0", 0.0, 0.001, 20),
+    "cl AS (SELECT c0.* FROM c0, r0 WHERE c0.x[r0.f] <= r0.t)",
+    "cr AS (SELECT c0.* FROM c0, r0 WHERE c0.x[r0.f] > r0.t)",
+    _best_split("rl", "cl", 0.0, 0.001, 20),
+    _best_split("rr", "cr", 0.0, 0.001, 20),
+    "r1 AS (SELECT * FROM (SELECT *, 0 AS side FROM rl UNION ALL SELECT *, 1 FROM rr) ORDER BY gain DESC, side LIMIT 1)",
+]
+_STUMP_NODES = " UNION ALL ".join(
+    f"""SELECT {_node("second_order", str(i), "0", "gain", "g", "h", "n", "f", "t")} FROM b{i}
+    UNION ALL SELECT {_node("second_order", str(i), "1", "-gl / (hl + 1)", "gl", "hl", "nl")} FROM b{i}
+    UNION ALL SELECT {_node("second_order", str(i), "1", "-gr / (hr + 1)", "gr", "hr", "nr")} FROM b{i}"""
+    for i in (0, 1)
+)
+
+
+@query(
+    v.with_views(
+        f"""{_STUMP_NODES}
+        UNION ALL SELECT {_node("best_first", "0", "0", "gain", "g", "h", "n", "f", "t")} FROM r0
+        UNION ALL SELECT {_node("best_first", "0", "1", "gain", "g", "h", "n", "f", "t")} FROM r1
+        UNION ALL SELECT {_node("best_first", "0", "2", "-gl / hl", "gl", "hl", "nl")} FROM r1
+        UNION ALL SELECT {_node("best_first", "0", "2", "-gr / hr", "gr", "hr", "nr")} FROM r1
+        UNION ALL SELECT {_node("best_first", "0", "1", "-go / ho", "go", "ho", "no")}
+          FROM (SELECT CASE side WHEN 0 THEN r0.gr ELSE r0.gl END AS go, CASE side WHEN 0 THEN r0.hr ELSE r0.hl END AS ho,
+            CASE side WHEN 0 THEN r0.nr ELSE r0.nl END AS no FROM r0, r1)""",
+        v.CLAIMS, _TREE_ROWS, *_STUMPS, *_BEST_FIRST,
+    )
+)
+def boosted_tree_nodes(spark, base):
+    """Every node of two Newton stumps and of a best-first tree of three leaves, grown on all claims."""
+    claims = fx.claims(spark, base).withColumn("amount_class", F.floor(F.col("claim_amount") / 20000))
+    binned = boosting.bin_matrix(claims, _TREE_COLUMNS, "is_fraud")
+    rules = {
+        "second_order": boosting.Growth(rounds=2, step=0.3, max_depth=1, l2=1.0, min_hessian=1.0, positive_weight=19.0),
+        "best_first": boosting.Growth(rounds=1, policy="loss", max_depth=None, max_leaves=3, l2=0.0, min_hessian=1e-3, min_rows=20, positive_weight=None),
+    }
+    parts = []
+    for name, booster in zip(rules, boosting.train(binned, list(rules.values()))):
+        value = F.coalesce("gain", "weight").alias("value")
+        parts.append(booster.nodes(spark).select(
+            F.lit(name).alias("model"), "tree", "depth", "feature", "threshold", value, "gradient", "hessian", "n_rows"
+        ))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
 def fraud_facts(scored):
     """Keys, and whether scores, clusters, the combined score and the alert agree."""
     score, combined = F.col("anomaly_score"), F.col("combined_fraud_score")
