@@ -3,10 +3,12 @@
 Texts become token ids in one scan.  A document longer than a sequence is cut into full sequences, its first piece
 taking what is left over; all other pieces are packed.  Pieces are dealt at random over groups of about ``GROUP``, so
 a group's size never follows a source or a length.  Inside a group pieces are placed by best fit, longest first; then
-the emptiest bin gives pieces to other underfull bins by moves, one-for-one, two-for-one and one-for-two exchanges.
-Every step raises the fuller bin, and so the sum of squared fills, until the emptiest bin is empty and gone.  Bins
-left underfull by their group are broken up and packed again together with those of other groups, in rounds, until
-one group is left.
+bins that are not full take from others by moves, one-for-one and two-for-one exchanges.  Every step raises the sum of
+squared fills; emptied bins go.  Where that ends above the least number of bins, the search starts again from bins
+filled one by one, and the better of both stays.
+
+Exactly full bins are done.  Of the others a group closes the fullest, so that at most half of its pieces are left;
+these are packed anew with those of other groups, in rounds, until one group is left.
 
 Defined results: null and empty texts are one end token; rows are packed one by one, repeated or not, with or without
 an id; an empty table gives no pieces.
@@ -17,6 +19,7 @@ from __future__ import annotations
 import base64
 import math
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -33,7 +36,6 @@ from claimlens.session import stage
 SIZE = 2048
 END = 0  # id that ends every document
 GROUP = 16_384  # pieces packed in one task
-FULL = 0.995  # bins filled to this share stay as they are
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -118,85 +120,145 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Bins of one group.  ``shrink`` empties the emptiest bins by exchanges that raise the sum of squared fills."""
+    """Bins of one group, improved until no exchange helps or their number is the least possible.
 
-    NEAR = 6  # items of a bin, longest first, that are tried in pairs
+    A bin takes from another one by a move, a one-for-one or a two-for-one exchange (either side may give the two) that
+    makes it fuller than both were.  So the sum of squared fills grows with every exchange, and bins are emptied.  Every
+    distinct length, and every pair of lengths, of every bin that is not exactly full is on offer; passes go on until
+    one of them changes nothing.
+    """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], size: int) -> None:
-        self.lengths, self.size = lengths, size
-        self.bins = {n: list(items) for n, items in enumerate(bins)}
-        self.fill = {n: int(lengths[items].sum()) for n, items in self.bins.items()}
-
-    def _offers(self, skip: set[int]) -> tuple[np.ndarray, list[tuple[int, tuple[int, ...]]]]:
-        """What underfull bins could give up in an exchange: (length given, room then) and who gives what."""
-        numbers, gifts = [], []
-        for n, items in self.bins.items():
-            room = self.size - self.fill[n]
-            if not room or n in skip:
-                continue
-            some = sorted(items, key=lambda i: -self.lengths[i])[: self.NEAR]
-            for gift in [(), *[(i,) for i in some], *[(i, j) for a, i in enumerate(some) for j in some[a + 1 :]]]:
-                given = sum(int(self.lengths[i]) for i in gift)
-                numbers.append((given, given + room, len(gift)))
-                gifts.append((n, gift))
-        return np.array(numbers, np.int64).reshape(-1, 3), gifts
-
-    def _empty(self, victim: int, offers: np.ndarray, gifts: list, stale: set[int]) -> bool:
-        """Exchange the victim's items for smaller ones until it is empty; bins touched become stale."""
-        lengths = self.lengths
-        while self.bins[victim]:
-            items = sorted(self.bins[victim], key=lambda i: -lengths[i])
-            takes = [(i,) for i in items] + [(i, j) for a, i in enumerate(items[: self.NEAR]) for j in items[a + 1 : self.NEAR]]
-            best, chosen = 0, None
-            for take in takes:
-                taken = sum(int(lengths[i]) for i in take)
-                fits = (offers[:, 0] < taken) & (taken <= offers[:, 1])
-                if len(take) == 2:
-                    fits &= offers[:, 2] == 1  # two for one
-                gain = np.where(fits, taken - offers[:, 0], 0)
-                at = int(gain.argmax()) if len(gain) else 0
-                while len(gain) and gain[at] > best:
-                    n, gift = gifts[at]
-                    if n not in stale:
-                        # A raise of the fuller bin: the sum of squared fills grows.
-                        if self.fill[n] + gain[at] > self.fill[victim]:
-                            best, chosen = int(gain[at]), (take, n, gift)
+        self.size = size
+        self.of = lengths.tolist()
+        self.bins = dict(enumerate(bins))
+        self.fill = {n: sum(self.of[i] for i in items) for n, items in self.bins.items()}
+        # (one or two lengths given up, as their sum) -> the bins that can give them
+        self.givers: dict[int, dict[int, dict[int, tuple[int, ...]]]] = {1: {}, 2: {}}
+        self.masks = {1: 0, 2: 0}
+        self.offered: dict[int, list[tuple[int, int]]] = {}
+        for n in self.bins:
+            self._offer(n)
+
+    def _gifts(self, n: int) -> list[tuple[int, ...]]:
+        """Items that bin ``n`` could give up, one for each distinct length and each distinct pair of lengths."""
+        first: dict[int, int] = {}
+        second: dict[int, int] = {}
+        for i in self.bins[n]:
+            if self.of[i] not in first:
+                first[self.of[i]] = i
+            elif self.of[i] not in second:
+                second[self.of[i]] = i
+        some = sorted(first.items(), reverse=True)
+        pairs = [(i, j) for a, (_, i) in enumerate(some) for _, j in some[a + 1 :]]
+        return [(i,) for _, i in some] + pairs + [(first[length], i) for length, i in second.items()]
+
+    def _offer(self, n: int) -> None:
+        """Put what ``n`` holds now on offer, in place of what it held."""
+        for k, total in self.offered.pop(n, ()):
+            del self.givers[k][total][n]
+            if not self.givers[k][total]:
+                self.masks[k] &= ~(1 << total)
+        if n not in self.bins or self.fill[n] == self.size:
+            return
+        mine = self.offered[n] = []
+        for gift in self._gifts(n):
+            k, total = len(gift), sum(self.of[i] for i in gift)
+            holders = self.givers[k].setdefault(total, {})
+            if n not in holders:
+                holders[n] = gift
+                self.masks[k] |= 1 << total
+                mine.append((k, total))
+
+    def _best(self, n: int) -> tuple[int, tuple[int, ...], int, tuple[int, ...]] | None:
+        """(gain, what ``n`` gives, other bin, what it gives) of the exchange that fills ``n`` most."""
+        fill, room = self.fill[n], self.size - self.fill[n]
+        best, chosen = 0, None
+        for gift in [(), *self._gifts(n)]:
+            given = sum(self.of[i] for i in gift)
+            for k in (1, 2):
+                if len(gift) == k == 2:
+                    continue
+                # totals above given + best, up to what fits
+                window = (self.masks[k] & ((1 << given + room + 1) - 1)) >> (given + best + 1)
+                while window:
+                    top = window.bit_length() - 1
+                    gain = best + 1 + top
+                    donor = next((m for m in self.givers[k][given + gain] if m != n and self.fill[m] < fill + gain), None)
+                    if donor is not None:
+                        best, chosen = gain, (gain, gift, donor, self.givers[k][given + gain][donor])
                         break
-                    gain[at] = 0
-                    at = int(gain.argmax())
-            if chosen is None:
-                return False
-            take, n, gift = chosen
-            self.bins[n] = [i for i in self.bins[n] if i not in gift] + list(take)
-            self.bins[victim] = [i for i in self.bins[victim] if i not in take] + list(gift)
-            self.fill[n] += best
-            self.fill[victim] -= best
-            stale.add(n)
-        return True
+                    window ^= 1 << top
+            if best == room:
+                break
+        return chosen
 
     def shrink(self) -> None:
-        least = math.ceil(int(self.lengths.sum()) / self.size)
-        failed: set[int] = set()
-        while len(self.bins) > least:
-            order = sorted((f, n) for n, f in self.fill.items() if f < self.size and n not in failed)
-            victims = [n for _, n in order[: max(1, len(order) // 20)]]
-            if not victims:
-                return
-            offers, gifts = self._offers(set(victims))
-            stale: set[int] = set()
-            for victim in victims:
-                if len(self.bins) <= least:
-                    return
-                if self._empty(victim, offers, gifts, stale):
-                    del self.bins[victim], self.fill[victim]
-                else:
-                    failed.add(victim)
+        least = math.ceil(sum(self.of) / self.size)
+        changed = True
+        while changed and len(self.bins) > least:
+            changed = False
+            for n in sorted(self.bins, key=lambda m: (-self.fill[m], m)):
+                while n in self.bins and self.fill[n] < self.size and len(self.bins) > least and (found := self._best(n)):
+                    gain, gift, other, taken = found
+                    self.bins[n] = [i for i in self.bins[n] if i not in gift] + list(taken)
+                    self.bins[other] = [i for i in self.bins[other] if i not in taken] + list(gift)
+                    self.fill[n] += gain
+                    self.fill[other] -= gain
+                    if not self.bins[other]:
+                        del self.bins[other], self.fill[other]
+                    self._offer(n)
+                    self._offer(other)
+                    changed = True
+
+
+def fullest_first(lengths: np.ndarray, size: int) -> list[list[int]]:
+    """Bins filled one after another, each by the longest item left and those that fill the rest of it most."""
+    left = np.argsort(-lengths, kind="stable").tolist()
+    short = (-lengths[left]).tolist()  # ascending, for the search below
+    bins = []
+    while left:
+        head, room = left[0], size + short[0]
+        first = max(1, bisect_left(short, -room))  # longer items do not fit beside it
+        full, reached, steps = 1 << room, 1, []
+        for length in short[first:]:
+            if reached & full:
+                break
+            steps.append(reached)
+            reached |= reached << -length
+            reached &= (full << 1) - 1
+        total, chosen = reached.bit_length() - 1, []
+        for at in range(len(steps) - 1, -1, -1):
+            if not steps[at] >> total & 1:
+                chosen.append(first + at)
+                total += short[first + at]
+        bins.append([head, *(left[at] for at in chosen)])
+        for at in [*chosen, 0]:  # from the back
+            del left[at], short[at]
+    return bins
 
 
 def pack_group(lengths: np.ndarray, size: int = SIZE) -> list[list[int]]:
-    search = LocalSearch(lengths, best_fit(lengths, size), size)
-    search.shrink()
-    return list(search.bins.values())
+    """Local search from best fit and, where that needs more bins than the tokens fill, from bins filled one by one."""
+    least, found = math.ceil(int(lengths.sum()) / size), None
+    for start in (best_fit, fullest_first):
+        search = LocalSearch(lengths, start(lengths, size), size)
+        search.shrink()
+        if found is None or len(search.bins) < len(found):
+            found = list(search.bins.values())
+        if len(found) == least:
+            break
+    return found
+
+
+def _closed(bins: list[list[int]], fills: np.ndarray, size: int) -> np.ndarray:
+    """Bins that stay: the exactly full ones, and the fullest others until at most half of the pieces are left."""
+    order = np.argsort(-fills, kind="stable")
+    pieces = np.array([len(bins[n]) for n in order])
+    open_ = pieces.sum() - np.cumsum(pieces)  # pieces in bins after this one
+    closed = np.zeros(len(bins), bool)
+    closed[order] = (fills[order] == size) | (open_ + pieces > pieces.sum() / 2)
+    return closed
 
 
 def _packer(size: int, round_: int):
@@ -210,7 +272,8 @@ def _packer(size: int, round_: int):
         lengths = out["length"].groupby(number)
         out["offset"] = lengths.cumsum().to_numpy() - out["length"].to_numpy()
         out["sequence_id"] = (round_ << 56) + (int(group["deal"].iloc[0]) << 24) + number
-        out["closed"] = lengths.transform("sum").to_numpy() >= FULL * size
+        fills = np.bincount(number, out["length"].to_numpy(), minlength=len(bins))
+        out["closed"] = _closed(bins, fills, size)[number]
         return out
 
     return packed
@@ -235,8 +298,5 @@ def pack(docs: DataFrame, size: int = SIZE, ranks: str = RANKS, with_ids: bool =
             break
         done.append(packed.where("closed").drop("row", "deal", "closed"))
         open_ = packed.where("NOT closed").drop("deal", "closed", "offset", "sequence_id")
-        before, left, round_ = left, open_.count(), round_ + 1
-        if left > 0.9 * before:  # hardly any bin of this table can be filled: take what the round gave
-            done.append(packed.where("NOT closed").drop("row", "deal", "closed"))
-            break
+        left, round_ = open_.count(), round_ + 1
     return reduce(DataFrame.unionByName, done)
