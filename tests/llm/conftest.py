@@ -26,7 +26,7 @@ TEXTS = [
     (10, "another text of the same id\nThe very same line that many documents hold, again and again."),
 ] + [(n, f"head {n}\n  The very same LINE that many documents hold, again and again.\t\ntail {n}") for n in range(11, 18)]
 CLASHING = ("key version node _id _key digest bits block unit chunk group label span items words pos token kept score held_out "
-            "n_words n_lines n_dropped drop_bits x run entry row deal piece start offset template covered _version").split()
+            "n_words n_lines n_dropped drop_bits keep_bits before slice x run entry row deal piece start offset template covered _version").split()
 
 
 @pytest.fixture(scope="session")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from claimlens.llm import decontaminate, exact_dedup, licenses, line_dedup
+from claimlens.session import stage
 
 ITEMS = [
     (1, "two THREE four, five six seven eight nine ten eleven twelve"),
@@ -135,7 +136,8 @@ def test_removal_of_documents_and_spans(spark, odd):
 
 def test_line_dedup(odd, no_docs):
     got = line_dedup.dedup_lines(odd)
-    rows = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got.collect()]
+    rows = [(r["doc_id"], r["_n_lines"], r["_n_dropped"], r["text"]) for r in got.collect()]
+    assert got.where("n_lines = 'extra n_lines' AND n_dropped = 'extra n_dropped' AND keep_bits = 'extra keep_bits'").count() == odd.count()
     blank = " \t\n\x0b\x0c\r"
     docs = [(r["doc_id"], r["text"] or "") for r in odd.select("doc_id", "text").collect()]
     holders = defaultdict(set)
@@ -158,3 +160,19 @@ def test_a_line_in_every_document_is_dealt_over_many_tasks(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(line).alias("text"))
     rows = line_dedup.dedup_lines(docs).where("n_dropped = 0").collect()
     assert [r["doc_id"] for r in rows] == [3999]
+
+
+def test_occurrences_are_sorted_and_streamed(spark, monkeypatch):
+    """The plan sorts ranges and runs a window over them without another exchange; keys span slices and ranges."""
+    monkeypatch.setattr(line_dedup, "SLICE_ROWS", 16)
+    lines = [f"line number {n % 7} that several documents of the table share" for n in range(600)]
+    docs = spark.createDataFrame([(n // 3, "\n".join([lines[n], lines[n], f"own {n}"])) for n in range(600)], "doc_id long, text string")
+    runs = stage(line_dedup.occurrences(docs), "runs")
+    plan = line_dedup.repeated_keys(runs)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("Window") :]
+    assert below.index("Sort") < below.index("rangepartitioning") and "hashpartitioning" not in below[: below.index("rangepartitioning")]
+    last = {lines[n]: max(m // 3 for m in range(n % 7, 600, 7)) for n in range(7)}
+    assert sorted(r["last_doc"] for r in plan.collect()) == sorted(last.values())
+    got = line_dedup.dedup_lines(docs).agg(F.sum("n_dropped")).first()[0]
+    assert got == sum(2 for n in range(600) if n // 3 < last[lines[n]])
