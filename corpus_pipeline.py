@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimlens.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
 from claimlens.llm.common import table
-from claimlens.session import stage
+from claimlens.session import new_stage_path, remove, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,8 +56,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is written to the shared folder and read again as the next one's input."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order; each result is written to the shared folder and read again as the next one's input.
+
+    What a stage wrote on its way, and the input it has read, are removed as soon as its result is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        path = new_stage_path(spark, name)
+        with staging(spark):
+            result = apply(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        remove(spark, before)
+        before = [path]
     return docs
