@@ -169,7 +169,7 @@ def _nearest_in_unit(k: int):
                     found["distance"].append(length[row, :n])
                     found["key"].append(keys[near[row, :n]])
                     found["payload"].append(payload[near[row, :n]])
-        return pd.DataFrame(found)
+        return pd.DataFrame(found).astype(object)  # a unit without hits has no types of its own
 
     return run
 
