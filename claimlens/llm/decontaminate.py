@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import ascii_lower, fresh, whole, word_list
-from claimlens.session import stage
+from claimlens.session import new_stage_path, stage
 
 WINDOW = 10
 ANCHOR = 3  # leading words that make the hash key
@@ -99,12 +99,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
     windows = stage(of_items.drop("item").distinct(), "test-windows")
     facts = windows.agg(F.count("*"), F.sort_array(F.collect_set("lead")), F.sum(F.octet_length("window"))).first()
     blocks, leads = max(1, math.ceil(max(facts[0], (facts[2] or 0) / BYTES) / block)), facts[1] or [ANCHOR]
-    scans = []
+    path = new_stage_path(docs.sparkSession, "window-hits")
     for b in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b) if blocks > 1 else windows
         scan = _scan(docs, part, leads)
-        scans.append(scan if b == 0 else scan.where("window IS NOT NULL").withColumn("counts", F.lit(False)))
-    found = stage(reduce(DataFrame.unionByName, scans), "window-hits")
+        scan = scan if b == 0 else scan.where("window IS NOT NULL").withColumn("counts", F.lit(False))
+        # written before the next block begins, so that one broadcast is held at a time
+        scan.write.mode("append").parquet(path)
+    found = docs.sparkSession.read.schema(scan.schema).parquet(path)
     hits = found.where("window IS NOT NULL").select("doc_id", "version", "window").distinct()
     items = (
         hits.join(of_items.select("window", "item"), "window")

@@ -33,7 +33,7 @@ from claimlens.session import stage
 
 CHUNK = 8192  # nodes of a block or group in one chunk
 ROWS = 512  # sets in an Arrow batch
-LISTED = 2_000_000  # nodes (16 bytes each) whose list is broadcast to the texts; longer lists are joined by exchange
+LISTED = 32 << 20  # bytes of the list of wanted texts, places included, up to which it is broadcast; else it is exchanged
 
 Find = Callable[[np.ndarray], np.ndarray]
 
@@ -207,7 +207,9 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in held], schema=schema)
 
     wanted = stage(wanted.withColumnRenamed("doc_id", "_id"), "wanted")
-    if wanted.count() <= LISTED:
+    # id, text version and node, and 12 bytes for each place; giant families have many places
+    id_bytes = F.coalesce(F.octet_length(F.col("_id").cast("string")), F.lit(0))
+    if (wanted.agg(F.sum(id_bytes + 40 + 12 * F.size("places"))).first()[0] or 0) <= LISTED:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", "text").join(
         wanted, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
