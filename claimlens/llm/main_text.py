@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -63,20 +63,29 @@ NAMED = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop|hidden|aria-hidden|sty
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
+    """An element and what it inherits, settled when it is made, so that no page costs more for its depth."""
+
     name: str
-    number: int
     parent: Element | None
     kind: str  # of its names: apart, aside, content or nothing
-
-    @property
-    def path(self) -> list[Element]:
-        path, at = [], self
-        while at is not None:
-            path.append(at)
-            at = at.parent
-        return path
+    depth: int = 0
+    apart: bool = False  # it or one around it is never content
+    rooted: bool = False  # it or one around it is the article's element
+    aside: bool = False  # it or one around it, up to the article's element, is named like boilerplate
+    named: bool = False  # or like content
+    headers: int = 0  # headers around it that stand outside of any article
+
+    def __post_init__(self) -> None:
+        up, root = self.parent, self.name in CONTENT_ROOT
+        self.depth = up.depth + 1 if up else 0
+        self.apart = self.name in NEVER_CONTENT or self.kind == "apart" or bool(up and up.apart)
+        self.rooted = root or bool(up and up.rooted)
+        inherits = up is not None and not root
+        self.aside = self.kind == "aside" or (inherits and up.aside)
+        self.named = self.kind == "content" or (inherits and up.named)
+        self.headers = (up.headers if up else 0) + (self.name == "header" and not self.rooted)
 
 
 @dataclass
@@ -114,8 +123,9 @@ def name_kind(attributes: str) -> str:
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order with the element they stand in."""
-    root = Element("html", 0, None, "")
-    at, numbers, in_link = root, 1, False
+    root = Element("html", None, "")
+    at, in_link = root, False
+    open_: Counter[str] = Counter()  # names of the elements around ``at``, itself included
     blocks: list[Block] = []
     current: Block | None = None
 
@@ -164,23 +174,25 @@ def blocks_of(page: str) -> list[Block]:
             continue
         current, in_link = None, False
         if closing:
-            up = at
-            while up is not None and up.name != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                at = up.parent
+            while open_[name]:
+                open_[at.name] -= 1
+                closed, at = at.name, at.parent
+                if closed == name:
+                    break
             continue
         if name in ENDS_PARAGRAPH:
             if at.name == "p" or (at.name[0] == "h" and at.name[1:].isdigit() and name[0] == "h" and name[1:].isdigit()):
-                at = at.parent or root
+                open_[at.name] -= 1
+                at = at.parent
         if name == at.name and name in ("li", "option", "tr", "td", "th", "dd", "dt"):
-            at = at.parent or root
+            open_[name] -= 1
+            at = at.parent
         if name == "hr":
             continue
         attributes = match["attributes"] or match["attributes2"] or ""
         kind = name_kind(attributes) if attributes.strip(" /") and name not in ("body", "html") else ""
-        at = Element(name, numbers, at, kind)
-        numbers += 1
+        at = Element(name, at, kind)
+        open_[name] += 1
     for block in blocks:
         block.text = " ".join("".join(block.parts).split())
     return [b for b in blocks if b.text]
@@ -188,17 +200,9 @@ def blocks_of(page: str) -> list[Block]:
 
 def block_score(block: Block) -> int:
     """Evidence for article (above 0) or boilerplate (below)."""
-    score, rooted, named, apart, aside = PRIOR, False, False, False, False
-    for element in block.element.path:
-        if element.name in NEVER_CONTENT or element.kind == "apart":
-            apart = True
-        if element.name == "header" and not any(e.name in CONTENT_ROOT for e in element.path):
-            score += PAGE_HEADER
-        if not rooted:
-            aside |= element.kind == "aside"
-            named |= element.kind == "content"
-        rooted |= element.name in CONTENT_ROOT
-    score += ROOT * rooted + CONTENT_NAME * (named and not rooted) + NEVER * apart + ASIDE_NAME * aside
+    at = block.element
+    score = PRIOR + PAGE_HEADER * at.headers + ROOT * at.rooted + CONTENT_NAME * (at.named and not at.rooted)
+    score += NEVER * at.apart + ASIDE_NAME * at.aside
     words = block.text.count(" ") + 1
     score += PER_WORD * min(words, WORDS) + int(LINKS * min(1.0, block.linked / len(block.text)))
     score += STOP * (block.text[-1] in ".!?:;\"'”»") + TITLE * (block.element.name == "h1")
@@ -207,11 +211,16 @@ def block_score(block: Block) -> int:
 
 def tie(a: Element, b: Element) -> int:
     """Strength of the edge between two blocks: full for one parent, less with every step between their elements."""
-    first = {e.number: d for d, e in enumerate(a.path)}
-    for steps, element in enumerate(b.path):
-        if element.number in first:
-            return SAME_PARENT // max(1, steps + first[element.number] - 1) ** 2
-    return 0
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+        if (steps - 1) ** 2 > SAME_PARENT:
+            return 0
+    return SAME_PARENT // max(1, steps - 1) ** 2
 
 
 def source_side(scores: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
@@ -275,7 +284,7 @@ def main_text(page: str | None) -> str:
     for i, block in enumerate(blocks):
         if i:
             edges.append((i - 1, i, tie(blocks[i - 1].element, block.element)))
-        parent = block.element.parent.number if block.element.parent else -1
+        parent = id(block.element.parent)
         if last.get(parent, i - 1) != i - 1:
             edges.append((last[parent], i, SAME_PARENT_APART))
         last[parent] = i

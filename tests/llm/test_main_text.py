@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 from claimlens.llm import main_text as M
 
@@ -58,3 +59,22 @@ def test_every_page_row(spark, small):
         assert all(r["n_chars"] == len(r["text"]) for r in rows)
     for r in M.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():
         assert r["text"] and "example" not in r["text"].split("\n")[-1]
+
+
+def test_deep_nesting_costs_no_more_than_its_length():
+    for page in (
+        "<div>" * 17_000 + "The text." + "</section>" * 5_000 + "</div>" * 5_000,
+        "".join(f"<div><p>Words of block {i}.</p>" for i in range(6_000)),
+    ):
+        assert len(page) > 150_000
+        start = time.perf_counter()
+        M.main_text(page)
+        assert time.perf_counter() - start < 3  # about 0.3 s; before, minutes
+
+
+def test_inherited_kinds_end_at_the_article():
+    page = (
+        "<div class=sidebar><article class=post><p>First words of the article, a whole sentence.</p>"
+        "<div class=ads><p>Buy this now, it is cheap today.</p></div></article></div><header><p>Head of the page.</p></header>"
+    )
+    assert M.main_text(page) == "First words of the article, a whole sentence."
