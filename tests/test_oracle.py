@@ -11,8 +11,9 @@ from verification.load import REGISTRY
 
 # Full trainings of hundreds of trees, minutes each: `python -m verification.check` runs them, the suite on TEST_ALL=1.
 LONG = {
-    "fraud_model_scores", "full_job_results", "gbm_risk_scores", "lake_job_trends", "lake_model_predictions",
-    "lightgbm_risk_scores", "rf_risk_scores", "streamed_fraud_scores", "xgboost_risk_scores",
+    "fraud_model_scores", "full_job_claim_lightgbm", "full_job_claim_logistic", "full_job_claim_rf", "full_job_claim_xgboost",
+    "full_job_fraud", "gbm_risk_scores", "lake_job_trends", "lake_model_predictions", "lightgbm_risk_scores",
+    "rf_risk_scores", "streamed_fraud_scores", "xgboost_risk_scores",
 }
 WITH_SQL = sorted(name for name, (_, sql) in REGISTRY.items() if sql and (name not in LONG or os.environ.get("TEST_ALL")))
 

@@ -274,49 +274,78 @@ def preprocessed_rows(spark, base):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def _job_results(spark, base, module, families=("logistic", "rf", "xgboost", "lightgbm")):
+    """What a run of the whole job for one module wrote: AUC, registry entry, and its predictions that are consistent."""
+    out = new_stage_path(spark, f"full-job-{module}")
+    gated = jobs.run(_tables(spark, base), out, module=module, families=families)
+    results = spark.read.schema(schemas.RUN_RESULTS).json(f"{out}/run_results").select(F.explode("results").alias("name", "auc"))
+    registry = spark.read.schema(schemas.MODEL_REGISTRY).parquet(f"{out}/registry")
+    registered_as = F.when(F.col("model_name") == "fraud", "fraud_auc").otherwise(F.col("model_name"))
+    known = registry.groupBy(registered_as.alias("name")).agg(F.bool_or("is_active").alias("registered"))
+    table, facts, key = {"claim": ("claim_predictions", risk_facts, "claim_id"), "fraud": ("fraud_predictions", fraud_facts, "claim_id")}[module]
+    written = facts(spark.read.parquet(f"{out}/{table}"))
+    right = F.lit(True)
+    for c in written.columns:
+        right = right & F.col(c) if c.endswith("_ok") else right
+    row = written.agg(F.count("*").alias("n"), F.countDistinct(F.when(right, F.col(key))).alias("right")).first()
+    return results.join(known, "name", "left").join(gated.select(F.col("model").alias("name")), "name").select(
+        "name", F.col("auc").between(0.4, 1).alias("auc_ok"), F.coalesce("registered", F.lit(False)).alias("registered"),
+        F.lit(row["n"]).alias("n_predictions"), F.lit(row["right"]).alias("n_right"),
+    )
+
+
+def _job_sql(name):
+    return v.with_views(
+        f"SELECT '{name}' AS name, true AS auc_ok, true AS registered, COUNT(*) AS n_predictions, COUNT(DISTINCT claim_id) AS n_right FROM claims",
+        v.CLAIMS,
+    )
+
+
+# The whole job at its defaults, one query for each module and claim family: all of them in one run take longer than a
+# query may.
+
+
+@query(_job_sql("claim_logistic"))
+def full_job_claim_logistic(spark, base):
+    return _job_results(spark, base, "claim", ("logistic",))
+
+
+@query(_job_sql("claim_rf"))
+def full_job_claim_rf(spark, base):
+    return _job_results(spark, base, "claim", ("rf",))
+
+
+@query(_job_sql("claim_xgboost"))
+def full_job_claim_xgboost(spark, base):
+    return _job_results(spark, base, "claim", ("xgboost",))
+
+
+@query(_job_sql("claim_lightgbm"))
+def full_job_claim_lightgbm(spark, base):
+    return _job_results(spark, base, "claim", ("lightgbm",))
+
+
+@query(_job_sql("fraud_auc"))
+def full_job_fraud(spark, base):
+    return _job_results(spark, base, "fraud")
+
+
 @query(
     v.with_views(
-        """SELECT name, true AS auc_ok, true AS registered, (SELECT COUNT(*) FROM claims) AS n_predictions, (SELECT COUNT(DISTINCT claim_id) FROM claims) AS n_right
-        FROM (SELECT unnest(['claim_logistic', 'claim_rf', 'claim_xgboost', 'claim_lightgbm', 'fraud_auc']) AS name)
-        UNION ALL SELECT 'recommend', NULL, false, 3 * COUNT(*), 3 * COUNT(DISTINCT member_id) FROM members""",
+        """SELECT 'recommend' AS name, COUNT(*) * 3 AS n_predictions, COUNT(DISTINCT member_id) * 3 AS n_right,
+        (SELECT COUNT(*) FROM claims) AS n_claims FROM members""",
         v.CLAIMS, v.MEMBERS,
     )
 )
-def full_job_results(spark, base):
-    """The whole job, all modules and default families: AUC, registry, and what was written of each model's predictions.
-
-    ``n_right`` counts the keys whose written row is consistent; a plan counts once per member.
-    """
-    out = new_stage_path(spark, "full-job")
-    gated = jobs.run(_tables(spark, base), out)
-    results = spark.read.schema(schemas.RUN_RESULTS).json(f"{out}/run_results").select(F.explode("results").alias("name", "auc"))
-    registry = spark.read.schema(schemas.MODEL_REGISTRY).parquet(f"{out}/registry")
-    registered_as = F.when(F.col("model_name") == "fraud", "fraud_auc").otherwise(F.col("model_name"))
-    known = registry.groupBy(registered_as.alias("name")).agg(F.lit(True).alias("registered"))
-
-    def written(facts, key):
-        right = F.lit(True)
-        for c in facts.columns:
-            right = right & F.col(c) if c.endswith("_ok") else right
-        return facts.agg(F.count("*").alias("n"), F.countDistinct(F.when(right, F.col(key))).alias("right")).first()
-
-    claim = written(risk_facts(spark.read.parquet(f"{out}/claim_predictions")), "claim_id")
-    fraud = written(fraud_facts(spark.read.parquet(f"{out}/fraud_predictions")), "claim_id")
-    plans = spark.read.parquet(f"{out}/plan_recommendations")
-    is_fraud = F.col("name") == "fraud_auc"
-    models = (
-        results.join(known, "name", "left").join(gated.select(F.col("model").alias("name")), "name")
-        .select(
-            "name", F.col("auc").between(0.4, 1).alias("auc_ok"), F.coalesce("registered", F.lit(False)).alias("registered"),
-            F.when(is_fraud, F.lit(fraud["n"])).otherwise(F.lit(claim["n"])).alias("n_predictions"),
-            F.when(is_fraud, F.lit(fraud["right"])).otherwise(F.lit(claim["right"])).alias("n_right"),
-        )
-    )
-    recommended = plans.agg(
-        F.lit("recommend").alias("name"), F.lit(None).cast("boolean").alias("auc_ok"), F.lit(False).alias("registered"),
-        F.count("*").alias("n_predictions"), F.countDistinct("member_id", "recommended_plan").alias("n_right"),
+def full_job_recommend(spark, base):
+    """The whole job for the recommendations: plans per member, and the dataset statistics it writes."""
+    out = new_stage_path(spark, "full-job-recommend")
+    jobs.run(_tables(spark, base), out, module="recommend")
+    stats = spark.read.json(f"{out}/dataset_stats").first()
+    return spark.read.parquet(f"{out}/plan_recommendations").agg(
+        F.lit("recommend").alias("name"), F.count("*").alias("n_predictions"),
+        F.countDistinct("member_id", "recommended_plan").alias("n_right"), F.lit(stats["n_claims"]).cast("long").alias("n_claims"),
     )
-    return models.unionByName(recommended)
 
 
 @query(
