@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from claimlens import constants as C
 from claimlens.operators.quantiles import SKETCH_ACCURACY, exact_quantiles
 
+MAX_CODES = 100_000  # values, of all columns together, that a fitted indexer may hold
+
 
 class _HasColumns(Params):
     columns = Param(Params._dummy(), "columns", "columns to transform in place", TypeConverters.toListString)
@@ -86,7 +88,11 @@ class LabelIndexerModel(StateModel):
 
 
 class LabelIndexer(_ColumnEstimator):
-    """Category -> 0-based rank of its value in code-point order; null is its own class."""
+    """Category -> 0-based rank of its value in code-point order; null is its own class.
+
+    The fitted values lie on the driver, so a fit refuses more than ``MAX_CODES`` of them;
+    ``dictionary.value_codes`` and ``with_code`` number columns of any size.
+    """
 
     def _fit(self, df: DataFrame) -> LabelIndexerModel:
         columns = self.get_columns()
@@ -99,8 +105,9 @@ class LabelIndexer(_ColumnEstimator):
                 for c in columns
             ]
         )
-        # one row per code of a code set, never per claim
-        found = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
+        found = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().limit(MAX_CODES + 1).collect()
+        if len(found) > MAX_CODES:
+            raise ValueError(f"more than {MAX_CODES} values in {columns}: number them with dictionary.value_codes")
         return LabelIndexerModel({c: sorted(r["value"] for r in found if r["name"] == c) for c in columns})
 
 

@@ -84,6 +84,15 @@ def test_unseen_category_gets_its_own_code(spark):
     assert [r["c"] for r in model.transform(new).collect()] == [1.0, 2.0, 0.0, 3.0]
 
 
+def test_indexer_refuses_a_column_of_too_many_values(spark, monkeypatch):
+    df = spark.range(8).selectExpr("cast(id as string) as c", "'x' as d")
+    assert len(transforms.LabelIndexer(columns=["c"]).fit(df).fitted["c"]) == 8
+    monkeypatch.setattr(transforms, "MAX_CODES", 8)
+    assert len(transforms.LabelIndexer(columns=["c"]).fit(df).fitted["c"]) == 8
+    with pytest.raises(ValueError, match="value_codes"):
+        transforms.LabelIndexer(columns=["c", "d"]).fit(df)
+
+
 def test_scalers_on_constant_column(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "k double, x double")
     z = transforms.ZScaler(columns=["k", "x"]).fit(df).transform(df).collect()
