@@ -193,6 +193,26 @@ def test_stored_index_is_asked_without_assigning_points_again(spark, monkeypatch
         index.nearest(near, 6)
 
 
+def test_a_vector_is_not_written_once_per_cell_it_searches(spark, monkeypatch):
+    """Vectors in no particular direction need nearly every cell; what is written stays one row per vector."""
+    rng = np.random.default_rng(11)
+    cloud = rng.normal(size=(200, 12))
+    points = spark.createDataFrame([(i, None, [float(x) for x in v / np.linalg.norm(v)]) for i, v in enumerate(cloud)], "key long, payload string, vec array<double>")
+    written = {}
+
+    def stage(df, name, whole=neighbours.stage):
+        out = whole(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "stage", stage)
+    found = neighbours.nearest_vectors(points, points, 4, 10)
+    got = {r["key"]: [n["key"] for n in r["neighbours"]] for r in points.join(found, "vec").collect()}
+    want = brute_force(dict(enumerate(cloud)), dict(enumerate(cloud)), 4)
+    assert got == {k: [n for n, _ in hits] for k, hits in want.items()}
+    assert max(written.values()) <= 200, written
+
+
 @pytest.mark.parametrize("n", [1, 2, 40, 300])
 def test_nearest_pivot_of_two_levels(n):
     rng = np.random.default_rng(n)
