@@ -37,6 +37,24 @@ def test_factors_equal_exact_svd(spark, monkeypatch):
         assert [r["score"] for r in mine] == pytest.approx([wanted[m, int(r["item"][1:])] for r in mine], abs=1e-6)
 
 
+def test_products_in_rectangles_send_a_vector_once_per_block(spark, monkeypatch):
+    """Three by four blocks, a hot item, a member without name, an item the model does not know."""
+    monkeypatch.setattr(factors, "SIDE", 10)
+    rng = np.random.default_rng(2)
+    cells = [(m, i, float(rng.integers(1, 9))) for m in range(30) for i in range(40) if i == 3 or rng.random() < 0.3]
+    named = [(None if m == 7 else 2**60 + m, i, r) for m, i, r in cells]
+    ratings = stage(spark.createDataFrame(named, "member long, item long, rating double").repartition(3), "ratings")
+    vectors = {i: rng.standard_normal(5) for i in range(39)}
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item long, vec array<double>")
+    cut = factors._Ratings.of(ratings)
+    assert min(cut.blocks.values()) > 1
+    assert cut.sent["item"].select(F.explode("blocks")).count() <= 40 * cut.blocks["member"] < len(cells)
+    got = {r["member"]: r["vec"] for r in factors.FactorModel(items, []).coordinates(ratings).collect()}
+    for m in range(30):
+        want = sum(r * vectors[i] for n, i, r in cells if n == m and i in vectors)
+        assert got[None if m == 7 else 2**60 + m] == pytest.approx(want)
+
+
 def test_factors_of_small_and_empty_tables(spark):
     ratings = spark.createDataFrame([("a", "x", None), ("b", "x", 2.0)], "member string, item string, rating double")
     assert factors.fit_factors(ratings).values == []
