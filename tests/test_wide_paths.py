@@ -55,6 +55,31 @@ def test_products_in_rectangles_send_a_vector_once_per_block(spark, monkeypatch)
         assert got[None if m == 7 else 2**60 + m] == pytest.approx(want)
 
 
+def test_items_out_of_reach_are_not_scored(spark, monkeypatch):
+    """Half of the members have their best items in the first block; the short vectors of the others cannot pass these."""
+    rng = np.random.default_rng(8)
+    items = {f"i{i:02d}": rng.standard_normal(3) * (9.0 if i % 4 == 0 else 0.001) + (i % 4 == 0) * 5 for i in range(40)}
+    rows = [(f"m{m:02d}", f"i{i:02d}", 1.0 + m) for m in range(20) for i in (0, 4, m)]
+    ratings = spark.createDataFrame(rows, "member string, item string, rating double")
+    model = factors.FactorModel(spark.createDataFrame([(i, v.tolist()) for i, v in items.items()], "item string, vec array<double>"), [1.0] * 3)
+    asked = []
+
+    def kept(df, name, whole=factors.stage):
+        out = whole(df, name)
+        if name == "asked-members":
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(factors, "stage", kept)
+    best = factors.recommend_items(model, ratings, 2, block=8).collect()
+    own = {f"m{m:02d}": sum((1.0 + m) * items[f"i{i:02d}"] for i in (0, 4, m)) for m in range(20)}
+    assert len(best) == 40 and 0 <= asked[-1] < 20
+    for m, v in own.items():
+        mine = sorted((r["rank"], r["score"], r["item"]) for r in best if r["member"] == m)
+        assert [s for _, s, _ in mine] == pytest.approx(sorted((float(v @ x) for x in items.values()), reverse=True)[:2])
+        assert all(s == pytest.approx(float(v @ items[i])) for _, s, i in mine)
+
+
 def test_factors_of_small_and_empty_tables(spark):
     ratings = spark.createDataFrame([("a", "x", None), ("b", "x", 2.0)], "member string, item string, rating double")
     assert factors.fit_factors(ratings).values == []
