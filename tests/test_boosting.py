@@ -155,3 +155,24 @@ def test_nulls_one_class_and_no_rows(spark, matrix):
     assert all(len(t.feature) == 1 for t in ones.trees)
     nothing = boosting.train(boosting.bin_matrix(matrix.limit(0), COLUMNS, "y"), [LEAVES])[0]
     assert nothing.trees == [] and with_probability(nothing.model("y"), matrix.limit(3)).select("probability").distinct().collect()[0][0] == 0.5
+
+
+def test_a_scan_goes_down_only_to_the_nodes_it_asks_for():
+    """Rows in blocks of a column each: every row ends where its values lead, and unasked subtrees are not entered."""
+    tree = tuple(np.array(a) for a in ([0, 1, -1, -1, -1], [3, 2, 0, 0, 0], [1, 3, 0, 0, 0], [2, 4, 0, 0, 0]))
+    bins = np.array([[0, 5, 3, 1, 9], [2, 0, 3, 7, 1]], np.uint8)
+    every = {node: rows.tolist() for node, rows in boosting._rows_at(tree, bins, np.arange(5))}
+    assert every == {2: [1, 4], 3: [0], 4: [2, 3]}
+    needed = boosting._on_the_way(tree, [4])
+    assert needed.tolist() == [True, True, False, False, True]
+    assert [(n, r.tolist()) for n, r in boosting._rows_at(tree, bins, np.arange(5), needed)] == [(4, [2, 3])]
+
+
+def test_cached_blocks_are_large():
+    """Stored blocks of at most 4,096 rows are scanned in blocks of up to 65,536."""
+    def block(n, start):
+        return boosting._Block(np.full((2, n), start, np.uint8), np.ones(n, np.uint8), np.zeros((n, 1), np.int32), np.full((1, n), float(start)))
+
+    made = list(boosting._in_large_blocks(iter([block(4096, i) for i in range(17)])))
+    assert [len(b.label) for b in made] == [65536, 4096]
+    assert made[0].margins[0, ::4096].tolist() == list(range(16)) and made[1].bins[0, 0] == 16
