@@ -204,3 +204,30 @@ def test_a_second_writer_from_the_same_version_does_not_win(spark, monkeypatch):
         with pytest.raises(RuntimeError):
             late.upsert(spark.createDataFrame([("b", 3)], "id string, n int"))
     assert {tuple(r) for r in table.read().collect()} == {("a", 2)}
+
+
+def test_lloyd_turns_rows_into_arrays_once(spark):
+    """Steps scan cached blocks: the rows are made once, not once a step."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return x
+
+    df = spark.range(0, 5000, 1, 2).select((F.col("id") % 97).cast("double").alias("x")).select(counted("x").alias("x"))
+    centres, costs = fraud.lloyd(df, ["x"], np.array([[[0.0], [96.0]], [[3.0], [5.0]]]), max_iter=4, tol=-1.0)
+    assert made.value == 5000
+    x, want = np.arange(5000) % 97, np.array([0.0, 96.0])
+    for _ in range(4):
+        near = np.abs(x[:, None] - want).argmin(axis=1)
+        want = np.array([x[near == i].mean() for i in range(2)])
+    assert np.allclose(centres[0].ravel(), want) and costs[0] == pytest.approx(np.square(x[:, None] - want).min(axis=1).sum())
+
+
+def test_points_are_dealt_in_small_blocks(spark):
+    df = spark.range(0, 5000, 1, 1).select(F.col("id").cast("double").alias("x"), F.lit(1).alias("y"))
+    with fraud._points(df, ["x", "y"]) as points:
+        blocks = points.collect()
+    assert max(len(x) for x, _ in blocks) <= 2048 and all(len(x) == len(h) for x, h in blocks)
+    assert np.concatenate([x for x, _ in blocks])[:, 0].tolist() == list(range(5000))
