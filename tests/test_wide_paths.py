@@ -117,6 +117,29 @@ def test_ids_of_a_whole_vocabulary(spark, monkeypatch):
     }
 
 
+def test_whole_texts_send_their_words_once_per_chunk(spark, tmp_path, monkeypatch):
+    """Before, every text sent each of its words; texts of the same key share their ids, texts without a key have none."""
+    rows = [(i, f"the same words w{i % 3}") for i in range(400)] + [(None, "the words"), (7, "words again")]
+    df = stage(spark.createDataFrame(rows, "id long, text string").repartition(3), "texts")
+    vocabulary = stage(dictionary.whole_vocabulary(df, "text"), "vocabulary")
+    ids = {r["word"]: r["word_id"] for r in vocabulary.collect()}
+    sent = []
+
+    def counted(left, *args):
+        sent.append(left.count())
+        return joins.skew_join(left, *args)
+
+    monkeypatch.setattr(dictionary, "skew_join", counted)
+    found = dictionary.encode_by_exchange(df, vocabulary, "id", "text").collect()
+    # three chunks of seven words at most, and the five words of the key that two texts share
+    assert sent[0] <= 3 * 7 and sent[1:] == [5]
+    one = {r["id"]: r["token_ids"] for r in found if r["id"] not in (None, 7)}
+    assert one == {i: [ids[w] for w in t.split()] for i, t in rows if i not in (None, 7)}
+    both = sorted([*enumerate(ids[w] for w in rows[7][1].split()), *enumerate(ids[w] for w in ("words", "again"))])
+    assert [r["token_ids"] for r in found if r["id"] == 7] == [[i for _, i in both]] * 2
+    assert [r["token_ids"] for r in found if r["id"] is None] == [[]]
+
+
 def test_starts_side_by_side_equal_single_runs(spark):
     rng = np.random.default_rng(2)
     points = np.vstack([rng.normal(c, 0.3, (60, 2)) for c in ((0, 0), (4, 0), (0, 4), (4, 4))] + [np.zeros((120, 2))])
