@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +15,7 @@ from claimlens import constants as C
 from claimlens.functions import text as X
 from claimlens.functions.lookup import bucketed
 from claimlens.functions.vectors import padded_ids
-from claimlens.operators.ranking import plain_split, stratified_split
+from claimlens.operators.ranking import wide_split
 from claimlens.session import stage
 
 
@@ -105,24 +105,25 @@ def train_text_classifier(
     evaluated; a held-out row whose label training has not met counts as a miss and in ``unseen``.
     """
     labelled = texts.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("string"))
-    split = stratified_split(labelled, label, key, test_fraction, seed) if stratified else plain_split(
-        labelled, key, test_fraction, seed
-    )
-    split = stage(split, "text-split")  # every stage of the pipeline reads the texts once more
-    train, held_out = split.where("is_test = 0"), split.where("is_test = 1")
+    columns = list(dict.fromkeys([key, text, label]))
+    split = wide_split(labelled.select(*columns), label if stratified else None, key, test_fraction, seed)
+    split = stage(split.select(text, label, "is_test"), "text-split")  # its words are taken twice
     indexer = StringIndexer(
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="error"
-    ).fit(train.select(label))
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+"),
-        CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_vocab),
-        IDF(inputCol="_counts", outputCol="_tfidf"),
-        LogisticRegression(featuresCol="_tfidf", labelCol="_label", family="multinomial", maxIter=max_iter, regParam=1e-4),
-        IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels),
-    ]
-    fitted = Pipeline(stages=stages).fit(indexer.transform(train))
+    ).fit(split.where("is_test = 0").select(label))
+    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+")
+    counter = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_vocab)
+    counter = counter.fit(words.transform(split.where("is_test = 0")))
+    # what follows needs the counts only
+    counted = stage(counter.transform(words.transform(split)).select(label, "is_test", "_counts"), "text-counts")
+    train, held_out = counted.where("is_test = 0"), counted.where("is_test = 1")
+    idf = IDF(inputCol="_counts", outputCol="_tfidf").fit(train)
+    learner = LogisticRegression(featuresCol="_tfidf", labelCol="_label", family="multinomial", maxIter=max_iter, regParam=1e-4)
+    learnt = learner.fit(indexer.transform(idf.transform(train)))
+    named = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels)
+    fitted = PipelineModel([words, counter, idf, learnt, named])
     hit = (F.col("predicted_label") == F.col(label)).cast("double")
-    accuracy, unseen = fitted.transform(held_out).agg(F.avg(hit), F.count_if(~F.col(label).isin(list(indexer.labels)))).first()
+    accuracy, unseen = PipelineModel([idf, learnt, named]).transform(held_out).agg(F.avg(hit), F.count_if(~F.col(label).isin(list(indexer.labels)))).first()
     return TextClassifier(fitted, accuracy if accuracy is not None else float("nan"), tuple(indexer.labels), unseen)
 
 
