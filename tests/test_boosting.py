@@ -176,3 +176,45 @@ def test_cached_blocks_are_large():
     made = list(boosting._in_large_blocks(iter([block(4096, i) for i in range(17)])))
     assert [len(b.label) for b in made] == [65536, 4096]
     assert made[0].margins[0, ::4096].tolist() == list(range(16)) and made[1].bins[0, 0] == 16
+
+
+@pytest.mark.parametrize("rules", [DEEP, LEAVES, replace(LEAVES, left_out=("fold", 1))])
+def test_scans_of_a_dealt_matrix_equal_plain_growth(spark, matrix, rows, rules, monkeypatch):
+    """The same trees where the matrix is too large for one task."""
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", 0)
+    monkeypatch.setattr(boosting, "FEW", 100)
+    test_trees_equal_plain_growth(spark, matrix, rows, rules, monkeypatch)
+
+
+def test_a_small_matrix_is_trained_in_one_job(spark, matrix):
+    """Six models of twenty trees start one job, not one for every scan."""
+    binned = boosting.bin_matrix(matrix, COLUMNS, "y")
+    rules = [replace(LEAVES, rounds=20, left_out=left_out) for left_out in (("is_test", 1), ("fold", 0), ("fold", 1), ("fold", 2))]
+    rules += [replace(DEEP, rounds=20), replace(DEEP, rounds=20, left_out=("fold", 5))]
+    context = spark.sparkContext
+    context.setJobGroup("boosting", "six models")
+    try:
+        found = boosting.train(binned, rules)
+        assert len(context.statusTracker().getJobIdsForGroup("boosting")) == 1
+    finally:
+        context._jsc.clearJobGroup()
+    assert [len(b.trees) for b in found] == [20] * 6
+
+
+def test_packed_columns_are_counted_as_they_are_one_by_one(monkeypatch):
+    """Columns of 1 to 256 bins share words; sums by word give those of every column, for many rows and for few."""
+    rng = np.random.default_rng(3)
+    widths = [64, 1, 2, 60, 3, 256, 17, 2]
+    layout = boosting._Layout.of([tuple(range(n - 1)) for n in widths])
+    bins = np.stack([rng.integers(0, n, 5000) for n in widths]).astype(np.uint8)
+    words = layout.words(bins)
+    every, packed = np.arange(5000, dtype=np.int32), boosting._Words(words, layout)
+    assert all((packed[c][every] == bins[c]).all() for c in range(len(widths))) and len(words) < len(widths)
+    values = rng.random((2, 5000))
+    parts = [every, every[::3], every[:10], every[:0]]
+    got = boosting._sums_of(words, layout, parts, lambda rows: (values[0][rows], values[1][rows]))
+    for rows, sums in zip(parts, got, strict=True):
+        want = np.concatenate([
+            np.stack([np.bincount(bins[c][rows], v, n) for v in (values[0][rows], values[1][rows], None)], axis=1) for c, n in enumerate(widths)
+        ])
+        assert np.allclose(sums, want)
