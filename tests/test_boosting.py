@@ -7,11 +7,13 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from claimlens.operators import boosting
 from claimlens.operators.boosting import Growth
-from claimlens.plans import claim_models
+from claimlens.plans import claim_models, fraud_models
 from claimlens.plans.claim_models import with_probability
 from claimlens.session import new_stage_path
 
@@ -218,3 +220,46 @@ def test_packed_columns_are_counted_as_they_are_one_by_one(monkeypatch):
             np.stack([np.bincount(bins[c][rows], v, n) for v in (values[0][rows], values[1][rows], None)], axis=1) for c, n in enumerate(widths)
         ])
         assert np.allclose(sums, want)
+
+
+@pytest.mark.parametrize("local_rows", [0, 1000])
+def test_squares_equal_sparks_boosted_trees(matrix, monkeypatch, local_rows):
+    """Least-squares boosting gives the probabilities of Spark's, weights included."""
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", local_rows)
+    rules = Growth(rounds=5, step=0.2, max_depth=3, l2=0.0, min_hessian=0.0, positive_weight=19.0, loss="squares", bins=32)
+    ours = boosting.train(boosting.bin_matrix(matrix, COLUMNS, "y", rules.bins), [rules])[0].model("y")
+    assembled = VectorAssembler(inputCols=list(COLUMNS), outputCol="features").transform(matrix.withColumn("w", F.when(F.col("y") == 1, 19.0).otherwise(1.0)))
+    spark_model = GBTClassifier(labelCol="y", weightCol="w", maxIter=5, maxDepth=3, stepSize=0.2, seed=1).fit(assembled)
+    got, want = (
+        [r["probability"] for r in out.orderBy("key").collect()]
+        for out in (with_probability(ours, matrix), with_probability(spark_model, assembled))
+    )
+    assert np.abs(np.array(got) - np.array(want)).max() < 1e-9 and len(set(got)) > 10
+    assert ours.featureImportances == pytest.approx(spark_model.featureImportances.toArray().tolist())
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_jobs_of_the_gbm_and_fraud_classifiers_do_not_grow_with_the_rounds(spark, matrix):
+    features = matrix.drop("is_test", "fold").withColumnRenamed("key", "claim_id")
+    for name, train in (
+        ("gbm", lambda n: claim_models.train_claim(features, "gbm", "y", "claim_id", COLUMNS, rounds=n)),
+        ("fraud", lambda n: fraud_models.train_fraud_supervised(features, COLUMNS, "y", rounds=n)),
+    ):
+        few, many = (_jobs(spark, f"{name}-{n}", lambda n=n: train(n)) for n in (2, 20))
+        assert few == many, name
+
+
+def test_gbm_refuses_what_sparks_trees_refuse(matrix):
+    features = matrix.drop("is_test", "fold")
+    gaps = features.withColumn("a", F.when(F.col("key") > "K0500", F.col("a")))
+    for bad, said in ((gaps, "null or NaN in a"), (features.withColumn("y", F.col("y") + 1), "0 or 1"), (features.limit(0), "rows")):
+        with pytest.raises(ValueError, match=said):
+            claim_models.train_claim(bad, "gbm", "y", "key", COLUMNS, rounds=2)
