@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from claimlens.operators import dictionary, factors, fraud, joins
 from claimlens.operators.claim_states import ClaimStates
-from claimlens.session import new_stage_path, stage
+from claimlens.session import new_stage_path, stage, stage_dir
 from claimlens.sources.keyed import KeyedTable
 
 
@@ -55,6 +58,43 @@ def test_products_in_rectangles_send_a_vector_once_per_block(spark, monkeypatch)
         assert got[None if m == 7 else 2**60 + m] == pytest.approx(want)
 
 
+def _kept_files(spark):
+    """Folders of staged tables, and shuffle files on this machine."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().toSeq()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return set(os.listdir(stage_dir(spark).removeprefix("file:"))), {n for n in names if n.startswith("shuffle")}
+
+
+def _soon(condition, seconds=20):
+    until = time.time() + seconds
+    while not (met := condition()) and time.time() < until:
+        time.sleep(0.2)
+    return met
+
+
+def test_factors_leave_only_their_result_on_disk(spark, monkeypatch):
+    """Products in panels of two columns; of all tables and shuffles on the way nothing stays."""
+    monkeypatch.setattr(factors, "SIDE", 20)
+    monkeypatch.setattr(factors, "PANEL", 50)
+    rng = np.random.default_rng(4)
+    a = (rng.standard_normal((50, 4)) * [9, 6, 4, 2]) @ rng.standard_normal((4, 30)) + 0.01 * rng.standard_normal((50, 30))
+    rows = [(f"m{m:02d}", f"i{i:02d}", float(x)) for (m, i), x in np.ndenumerate(a)]
+    ratings = stage(spark.createDataFrame(rows, "member string, item string, rating double").repartition(4), "given")
+    tables, shuffles = _kept_files(spark)
+    model = factors.fit_factors(ratings, n_factors=4)
+    best = factors.recommend_items(model, ratings, 2, block=8)
+    left = lambda: [now - before for now, before in zip(_kept_files(spark), (tables, shuffles))]
+    assert sorted(t.split("-")[0] for t in left()[0]) == ["factors", "recommended"]
+    assert _soon(lambda: not left()[1])
+    _, values, right = np.linalg.svd(a)
+    assert model.values == pytest.approx(values[:4], rel=1e-6)
+    v = {r["item"]: r["vec"] for r in model.items.collect()}
+    v = np.array([v[f"i{i:02d}"] for i in range(30)])
+    assert np.abs(v @ v.T - right[:4].T @ right[:4]).max() < 1e-4
+    wanted = a @ v @ v.T
+    assert [r["score"] for r in best.where("rank = 1").orderBy("member").collect()] == pytest.approx(wanted.max(axis=1).tolist(), abs=1e-6)
+
+
 def test_items_out_of_reach_are_not_scored(spark, monkeypatch):
     """Half of the members have their best items in the first block; the short vectors of the others cannot pass these."""
     rng = np.random.default_rng(8)
